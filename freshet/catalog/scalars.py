@@ -133,13 +133,13 @@ def _(t):
 @entry(
     "rain_score",
     """SELECT point_id, h, CASE WHEN a >= 60 OR b >= 100 THEN 2 WHEN a >= 30 OR b >= 60 THEN 1 ELSE 0 END AS score FROM (
-         SELECT point_id, h, SUM(mm) OVER (PARTITION BY point_id ORDER BY h RANGE BETWEEN 23 PRECEDING AND CURRENT ROW) / 8 AS a,
-                SUM(mm) OVER (PARTITION BY point_id ORDER BY h RANGE BETWEEN 47 PRECEDING AND CURRENT ROW) / 8 AS b FROM v1)""",
+         SELECT point_id, h, SUM(mm) OVER (PARTITION BY point_id ORDER BY h RANGE BETWEEN 23 PRECEDING AND CURRENT ROW) / 40 AS a,
+                SUM(mm) OVER (PARTITION BY point_id ORDER BY h RANGE BETWEEN 47 PRECEDING AND CURRENT ROW) / 40 AS b FROM v1)""",
 )
 def _(t):
     w = W.partitionBy("point_id").orderBy("h")
-    a = F.sum("mm").over(w.rangeBetween(-23, 0)) / 8
-    b = F.sum("mm").over(w.rangeBetween(-47, 0)) / 8
+    a = F.sum("mm").over(w.rangeBetween(-23, 0)) / 40
+    b = F.sum("mm").over(w.rangeBetween(-47, 0)) / 40
     return t.v1.select("point_id", "h", S.rain_score(a, b).alias("score"))
 
 

@@ -226,13 +226,13 @@ def _(t):
     return Wn.biggest_jump(t.v2.filter("d BETWEEN date'1998-06-01' AND date'1998-09-30'"), "site", "d", "q")
 
 
-STATES_SQL = """SELECT point_id, h, CASE WHEN s >= 240 THEN 'RED' WHEN s >= 180 THEN 'YELLOW' ELSE 'GREEN' END AS state FROM (
+STATES_SQL = """SELECT point_id, h, CASE WHEN s >= 2600 THEN 'RED' WHEN s >= 2100 THEN 'YELLOW' ELSE 'GREEN' END AS state FROM (
       SELECT point_id, h, SUM(mm) OVER (PARTITION BY point_id ORDER BY h RANGE BETWEEN 23 PRECEDING AND CURRENT ROW) AS s FROM v1d) WHERE h % 6 = 0"""
 
 
 def states(t):
     s = A.rolled_hours(dense_hours(t), "point_id", "h", "mm", 24, "s", partial=True).filter("h % 6 = 0")
-    return s.select("point_id", "h", F.expr("CASE WHEN s >= 240 THEN 'RED' WHEN s >= 180 THEN 'YELLOW' ELSE 'GREEN' END").alias("state"))
+    return s.select("point_id", "h", F.expr("CASE WHEN s >= 2600 THEN 'RED' WHEN s >= 2100 THEN 'YELLOW' ELSE 'GREEN' END").alias("state"))
 
 
 TRANSITIONS_SQL = f"""WITH st AS ({STATES_SQL}), x AS (SELECT *, lag(state) OVER (PARTITION BY point_id ORDER BY h) AS was FROM st),
