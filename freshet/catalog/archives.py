@@ -3,8 +3,6 @@
 from pyspark.sql import functions as F
 
 from freshet.catalog.registry import entry
-from freshet.catalog.scalars import headlines
-from freshet.operators import joins as J
 from freshet.session import fresh_path
 from freshet.sources import archive as Ar
 from freshet.sources import documents as D
@@ -109,7 +107,7 @@ def _(t):
 )
 def _(t):
     i = F.col("id")
-    line = F.concat_ws(",", F.concat("name", F.lit(" ")), F.lit('"North, upper"'), "lat", F.when(i % 5 != 0, F.col("level")).otherwise(F.lit("-").cast("string")))
+    line = F.concat_ws(",", F.concat("name", F.lit(" ")), F.lit('"North, upper"'), "lat", F.when(i % 5 != 0, F.col("level").cast("string")).otherwise("-"))
     line = F.when(i % 9 == 4, F.concat_ws(",", "name", F.lit("short"))).when(i % 9 == 5, F.concat(line, F.lit(",7.1,7.2"))).otherwise(line)
     path = fresh_path(t.spark, "marks")
     head = t.spark.createDataFrame([("Station,District,Latitude,WarningLevel",)], "value string")
@@ -156,7 +154,7 @@ def _(t):
 @entry(
     "feed_item_relevance",
     r"""WITH u AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM v7), x AS (SELECT page_id, unnest(range(0, len(l))) AS i, unnest(l) AS u FROM u)
-        SELECT page_id, CAST(page_id * 1000 + i AS VARCHAR) AS identifier FROM x WHERE i % 4 <> 3 AND regexp_matches(lower(u), 'example\.org|/fr/|page=2')""",
+        SELECT page_id, CAST(page_id * 1000 + i AS VARCHAR) AS identifier FROM x WHERE i % 4 <> 3 AND regexp_matches(lower(u), '/(de|the|un)')""",
 )
 def _(t):
     links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
@@ -167,7 +165,7 @@ def _(t):
         F.lit("</link></item>"),
     )
     feed = F.concat(F.lit("<rss>"), F.array_join(F.transform(links, item), ""), F.lit("</rss>"))
-    return D.relevant_items(t.v7.select("page_id", feed.alias("feed")), "page_id", "feed", r"example\.org|/fr/|page=2").drop("item")
+    return D.relevant_items(t.v7.select("page_id", feed.alias("feed")), "page_id", "feed", "/(de|the|un)").drop("item")
 
 
 @entry(
@@ -272,13 +270,13 @@ def merge_sides(t):
     return old, new
 
 
-KEYS, ORDER = ["site", "issued", "target"], ["l_orderkey", "l_linenumber"]
+KEYS, ORDER = ["site", "issued", "target"], ["l_orderkey", "l_linenumber", "fc"]
 
 
 @entry(
     "merge_archive_keep_last",
     f"""WITH {MERGE_SQL} SELECT site, issued, target, fc, l_orderkey, l_linenumber FROM u
-        QUALIFY row_number() OVER (PARTITION BY site, issued, target ORDER BY b DESC, l_orderkey DESC, l_linenumber DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY site, issued, target ORDER BY b DESC, l_orderkey DESC, l_linenumber DESC, fc DESC) = 1""",
     num="fc",
     text="issued target",
 )
@@ -291,7 +289,7 @@ def _(t):
 @entry(
     "merge_archive_keep_first",
     f"""WITH {MERGE_SQL} SELECT site, issued, target, fc, l_orderkey, l_linenumber FROM u
-        QUALIFY row_number() OVER (PARTITION BY site, issued, target ORDER BY b, l_orderkey, l_linenumber) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY site, issued, target ORDER BY b, l_orderkey, l_linenumber, fc) = 1""",
     num="fc",
     text="issued target",
 )
@@ -302,7 +300,7 @@ def _(t):
 @entry(
     "merge_empty_safe",
     f"""WITH {MERGE_SQL} SELECT site, issued, fc, l_orderkey, l_linenumber FROM u WHERE b = 1
-        QUALIFY row_number() OVER (PARTITION BY site, issued ORDER BY l_orderkey DESC, l_linenumber DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY site, issued ORDER BY l_orderkey DESC, l_linenumber DESC, fc DESC) = 1""",
     num="fc",
     text="issued",
 )

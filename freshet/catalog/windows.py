@@ -281,14 +281,14 @@ def _(t):
 @entry(
     "latest_per_key",
     """SELECT * FROM (SELECT site, target AS last_target, fc AS last_fc FROM v4
-         QUALIFY row_number() OVER (PARTITION BY site ORDER BY issued DESC, target DESC, l_orderkey DESC, l_linenumber DESC) = 1)
+         QUALIFY row_number() OVER (PARTITION BY site ORDER BY issued DESC, target DESC, l_orderkey DESC, l_linenumber DESC, fc DESC) = 1)
        JOIN (SELECT site, target AS peak_target, fc AS peak_fc FROM v4
          QUALIFY row_number() OVER (PARTITION BY site ORDER BY fc DESC, target, l_orderkey, l_linenumber) = 1) USING (site)""",
     num="last_fc peak_fc",
     text="last_target peak_target",
 )
 def _(t):
-    last = R.newest(t.v4, ["site"], ["issued", "target", "l_orderkey", "l_linenumber"])
+    last = R.newest(t.v4, ["site"], ["issued", "target", "l_orderkey", "l_linenumber", "fc"])
     peak = R.highest(t.v4, ["site"], "fc", ["target", "l_orderkey", "l_linenumber"])
     a = last.select("site", F.col("target").alias("last_target"), F.col("fc").alias("last_fc"))
     return a.join(peak.select("site", F.col("target").alias("peak_target"), F.col("fc").alias("peak_fc")), "site")

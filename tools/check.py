@@ -38,7 +38,7 @@ def main():
         names = [n for n in ENTRIES if any(ENTRIES[n].build.__module__.endswith("." + a[1:]) for a in args)]
     sf_dir = f"/root/testdata/sf{sf}"
     spark = build_session("local[8]")
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
