@@ -243,14 +243,14 @@ def _(t):
     f"""WITH p AS (SELECT f.site, lead_d AS lead, f.fc, o.q AS obs, i.q AS pers FROM v4 f LEFT JOIN v2 o ON o.site = f.site AND o.d = f.target LEFT JOIN v2 i ON i.site = f.site AND f.issued = i.d WHERE lead_d IN (1, 2, 3, 5, 7)),
        s AS (SELECT site, lead, count(*) FILTER (obs IS NOT NULL AND pers IS NOT NULL) AS n, avg(abs(fc - obs)) FILTER (pers IS NOT NULL) AS mae, avg(abs(pers - obs)) AS mp, avg(fc - obs) FILTER (pers IS NOT NULL) AS bias FROM p GROUP BY 1, 2),
        e AS (SELECT site, thr, count(*) AS n, count(*) FILTER (obs >= thr) AS a, count(*) FILTER (fc >= thr) AS c, count(*) FILTER (obs >= thr AND fc >= thr) AS h FROM p JOIN {MARKS_SQL} USING (site) WHERE lead = 1 AND obs IS NOT NULL GROUP BY 1, 2)
-       SELECT s.site, s.lead, s.n, CASE WHEN s.n >= 12 THEN 'ok' ELSE 'insufficient' END AS status, CASE WHEN s.n >= 12 THEN mae END AS mae, CASE WHEN s.n >= 12 THEN mp END AS mae_persistence, CASE WHEN s.n >= 12 THEN 1 - mae / mp END AS skill,
-         CASE WHEN s.n >= 12 THEN bias END AS bias, CASE WHEN e.site IS NOT NULL THEN CASE WHEN thr IS NULL THEN 'no threshold' WHEN a = 0 AND c = 0 THEN 'no crossings' ELSE 'ok' END END AS ev_status,
+       SELECT s.site, s.lead, s.n, CASE WHEN s.n >= 8 THEN 'ok' ELSE 'insufficient' END AS status, CASE WHEN s.n >= 8 THEN mae END AS mae, CASE WHEN s.n >= 8 THEN mp END AS mae_persistence, CASE WHEN s.n >= 8 THEN 1 - mae / mp END AS skill,
+         CASE WHEN s.n >= 8 THEN bias END AS bias, CASE WHEN e.site IS NOT NULL THEN CASE WHEN thr IS NULL THEN 'no threshold' WHEN a = 0 AND c = 0 THEN 'no crossings' ELSE 'ok' END END AS ev_status,
          CASE WHEN thr IS NOT NULL AND a + c > 0 THEN a END AS observed_above, CASE WHEN thr IS NOT NULL AND a + c > 0 THEN c END AS forecast_above, CASE WHEN a + c > 0 THEN h / NULLIF(a, 0) END AS pod, CASE WHEN a + c > 0 THEN (c - h) / NULLIF(c, 0) END AS far
        FROM s LEFT JOIN e ON e.site = s.site AND s.lead = 1""",
     num="mae mae_persistence skill bias pod far",
 )
 def _(t):
-    return V.lead_day_score(forecasts(t), t.v2, warning_marks(t))
+    return V.lead_day_score(forecasts(t), t.v2, warning_marks(t), min_pairs=8)
 
 
 @entry(

@@ -51,7 +51,7 @@ def _events(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def lead_bucket_score(forecasts: DataFrame, obs: DataFrame, marks: DataFrame, key: str = "site", event_bucket: str = "24h") -> DataFrame:
+def lead_bucket_score(forecasts: DataFrame, obs: DataFrame, marks: DataFrame, key: str = "site", event_bucket: str = "24h", min_pairs: int = MIN_PAIRS) -> DataFrame:
     """Per site and lead bucket: error, persistence error, skill, bias; warning events in one bucket.
 
     ``forecasts``: (site, issued, target, lead, fc); ``obs``: (site, d, q); ``marks``: (site, thr).
@@ -60,16 +60,16 @@ def lead_bucket_score(forecasts: DataFrame, obs: DataFrame, marks: DataFrame, ke
     bands = F.array(*[F.struct(F.lit(b).alias("bucket"), F.lit(lo).alias("_lo"), F.lit(hi).alias("_hi")) for b, (lo, hi) in LEAD_BUCKETS.items()])
     rows = forecasts.select("*", F.inline(bands)).filter((F.col("lead") >= F.col("_lo")) & (F.col("lead") < F.col("_hi")))
     rows = held_value(value_at(rows, obs, key, "d", "q", {"obs": "target"}), obs, key, "issued", "d", "q", "pers")
-    s = A.gate(A.error_metrics(rows, [key, "bucket"], "obs", "fc", "pers").drop("rmse"), "n", MIN_PAIRS, ["mae", "mae_persistence", "skill", "bias"])
+    s = A.gate(A.error_metrics(rows, [key, "bucket"], "obs", "fc", "pers").drop("rmse"), "n", min_pairs, ["mae", "mae_persistence", "skill", "bias"])
     ev = rows.filter(F.col("bucket") == event_bucket).join(marks, key, "left").filter(F.col("obs").isNotNull())
     return s.join(_events(ev, [key, "bucket"]), [key, "bucket"], "left")
 
 
-def lead_day_score(forecasts: DataFrame, obs: DataFrame, marks: DataFrame, key: str = "site") -> DataFrame:
+def lead_day_score(forecasts: DataFrame, obs: DataFrame, marks: DataFrame, key: str = "site", min_pairs: int = MIN_PAIRS) -> DataFrame:
     """Per site and lead day: same measures, persistence being the value of the issue day itself."""
     rows = forecasts.filter(F.col("lead").isin(*LEAD_DAYS))
     rows = value_at(rows, obs, key, "d", "q", {"obs": "target", "pers": "issued"})
-    s = A.gate(A.error_metrics(rows, [key, "lead"], "obs", "fc", "pers").drop("rmse"), "n", MIN_PAIRS, ["mae", "mae_persistence", "skill", "bias"])
+    s = A.gate(A.error_metrics(rows, [key, "lead"], "obs", "fc", "pers").drop("rmse"), "n", min_pairs, ["mae", "mae_persistence", "skill", "bias"])
     ev = rows.filter("lead = 1").join(marks, key, "left").filter(F.col("obs").isNotNull())
     return s.join(_events(ev, [key, "lead"]), [key, "lead"], "left")
 
