@@ -4,13 +4,12 @@ from pyspark.sql import functions as F
 
 from freshet.catalog.joins import daily_frame
 from freshet.catalog.registry import entry
-from freshet.catalog.screens import MODES_SQL, VAL_YEARS, gauges
+from freshet.catalog.screens import MODES_SQL, VAL_YEARS, gauge_days
 from freshet.catalog.windows import STATES_SQL, states
 from freshet.operators import aggregates as A
 from freshet.operators import joins as J
 from freshet.operators import quality as Q
 from freshet.operators import raster as X
-from freshet.operators.chunks import chunk_width
 from freshet.plans import baselines as B
 
 
@@ -140,10 +139,11 @@ DRIFT_SQL = """hist AS (SELECT site, 'q' AS input, d, q AS value FROM v2 WHERE y
 )
 def _(t):
     rain = t.v3.filter("point_id < 4 AND NOT (point_id = 2 AND month(d) BETWEEN 5 AND 8)")
-    hist = t.v2.select("site", F.lit("q").alias("input"), "d", F.col("q").alias("value")).unionByName(
+    hist = t.stored("v2").select("site", F.lit("q").alias("input"), "d", F.col("q").alias("value")).unionByName(
         rain.select(F.col("point_id").alias("site"), F.lit("rain").alias("input"), "d", F.col("mm").alias("value"))
     )
-    last = t.v2.filter("d = date'2001-06-30'")
+    q = t.stored("v2")
+    last = q.filter("d = date'2001-06-30'")
     live = last.select("site", F.lit("q").alias("input"), "d", (F.col("q") * (F.lit(0.8) + F.col("site") * 0.4)).alias("v")).unionByName(
         last.select("site", F.lit("rain").alias("input"), "d", (F.col("q") * 0.2).alias("v"))
     )
@@ -155,24 +155,25 @@ def _(t):
     """SELECT a.point_id, month(a.d) BETWEEN 6 AND 9 AS season, count(*) FILTER (a.mm >= 25) AS heavy_days, count(*) FILTER (a.mm >= 25 AND b.mm >= 25) AS hit_strict,
          count(*) FILTER (a.mm >= 25 AND b.mm >= 10) AS hit_lenient, count(*) FILTER (a.mm >= 25 AND b.mm >= 25) / NULLIF(count(*) FILTER (a.mm >= 25), 0) AS pod_strict,
          count(*) FILTER (a.mm >= 25 AND b.mm >= 10) / NULLIF(count(*) FILTER (a.mm >= 25), 0) AS pod_lenient, count(*) FILTER (b.mm >= 25 AND a.mm < 10) AS false_alarm_days
-       FROM v3 a JOIN v3 b ON b.point_id = (a.point_id + 1) % 6 AND b.d = a.d GROUP BY 1, 2""",
+       FROM (SELECT point_id, d, mm % 64 AS mm FROM v3) a JOIN (SELECT point_id, d, mm % 64 AS mm FROM v3) b ON b.point_id = (a.point_id + 1) % 6 AND b.d = a.d GROUP BY 1, 2""",
     num="pod_strict pod_lenient",
 )
 def _(t):
-    test = t.v3.select(((F.col("point_id") + 5) % 6).alias("point_id"), "d", F.col("mm").alias("fc"))
-    j = t.v3.join(test, ["point_id", "d"]).withColumn("season", A.in_season("d"))
+    rain = t.v3.withColumn("mm", F.col("mm") % 64)
+    test = rain.select(((F.col("point_id") + 5) % 6).alias("point_id"), "d", F.col("mm").alias("fc"))
+    j = rain.join(test, ["point_id", "d"]).withColumn("season", A.in_season("d"))
     return j.groupBy("point_id", "season").agg(*A.heavy_columns("mm", "fc"))
 
 
 @entry(
     "wet_day_agreement",
-    """WITH g AS (SELECT point_id, d, greatest(mm - 20, 0) AS gauge FROM v3 WHERE point_id < 3 AND NOT (point_id = 2 AND year(d) > 1995)), m AS (SELECT point_id - 3 AS point_id, d, greatest(mm - 20, 0) AS model FROM v3)
+    """WITH g AS (SELECT point_id, d, greatest(mm % 32 - 16, 0) AS gauge FROM v3 WHERE point_id < 3 AND NOT (point_id = 2 AND year(d) > 1995)), m AS (SELECT point_id - 3 AS point_id, d, greatest(mm % 32 - 16, 0) AS model FROM v3)
        SELECT point_id, count(*) AS n_days, count(*) FILTER (gauge >= 1) AS n_wet, avg((model >= 1)::INT) FILTER (gauge >= 1) AS wet_when_wet, avg((model >= 1)::INT) FILTER (gauge < 1) AS wet_when_dry
        FROM g JOIN m USING (point_id, d) GROUP BY 1 HAVING count(*) >= 400 AND count(*) FILTER (gauge >= 1) >= 10 AND count(*) FILTER (gauge < 1) >= 10""",
     num="wet_when_wet wet_when_dry",
 )
 def _(t):
-    less = F.greatest(F.col("mm") - 20, F.lit(0.0))
+    less = F.greatest(F.col("mm") % 32 - 16, F.lit(0.0))
     g = t.v3.filter("point_id < 3 AND NOT (point_id = 2 AND year(d) > 1995)").select("point_id", "d", less.alias("gauge"))
     m = t.v3.select((F.col("point_id") - 3).alias("point_id"), "d", less.alias("model"))
     return A.wet_day_agreement(g, m, ["point_id"], "gauge", "model", min_days=400)
@@ -294,8 +295,7 @@ def _(t):
 
 @entry("reason_counts", f"WITH {MODES_SQL} SELECT excluded AS reason, count(*) AS n FROM modes WHERE excluded IS NOT NULL GROUP BY 1")
 def _(t):
-    g = gauges(t)
-    modes = Q.sensor_modes(g, "station", "ts", "event_id", "v", min_rows=200, width=chunk_width(g, "ts"))
+    modes = Q.sensor_modes(gauge_days(t), "station", min_rows=200)
     return A.reason_counts(modes.withColumnRenamed("excluded", "reason"), "reason")
 
 

@@ -181,14 +181,14 @@ def _(t):
 
 @entry(
     "sample_grid_at_points",
-    """WITH c AS (SELECT CAST(round_even((90 - vlat) / 0.1::DOUBLE, 0) AS BIGINT) AS r, CAST(round_even((vlon + 180) / 0.1::DOUBLE, 0) AS BIGINT) AS c, max(vid % 97) AS raw FROM v5r WHERE vid % 3 = 0 GROUP BY 1, 2)
+    """WITH c AS (SELECT CAST(round_even((90 - vlat) / 0.1::DOUBLE, 0) AS BIGINT) AS r, CAST(round_even((vlon + 180) / 0.1::DOUBLE, 0) AS BIGINT) AS c, max(vid % 97) AS raw FROM v5r GROUP BY 1, 2)
        SELECT id, CASE WHEN raw < 90 THEN raw * 2.4 END AS mm FROM v5v LEFT JOIN c ON c.r = round_even((90 - lat) / 0.1::DOUBLE, 0) AND c.c = round_even((lon + 180) / 0.1::DOUBLE, 0)""",
     num="mm",
 )
 def _(t):
     row = F.bround((F.lit(90.0) - F.col("vlat")) / 0.1).cast("bigint").alias("row")
     col = F.bround((F.col("vlon") + 180) / 0.1).cast("bigint").alias("col")
-    cells = t.v5r.filter("vid % 3 = 0").groupBy(row, col).agg(F.max(F.col("vid") % 97).alias("raw"))
+    cells = t.v5r.groupBy(row, col).agg(F.max(F.col("vid") % 97).alias("raw"))
     return Gr.sample_at_points(t.v5v.select("id", "lat", "lon"), cells, fill=90.0).select("id", "mm")
 
 
@@ -201,7 +201,7 @@ ENTITY_SQL = "[" + ", ".join(f"'{e}'" for e in ENTITIES) + "]"
     f"""WITH w AS (SELECT doc_id, unnest(range(0, len(l))) AS i, unnest(l) AS w FROM (SELECT doc_id, string_split(text, ' ') AS l FROM documents)),
         p AS (SELECT doc_id, i // 8 AS line, (i * 3) % 8 AS x, CASE WHEN i % 8 < 3 THEN w ELSE CAST(length(w) AS VARCHAR) END AS w FROM w),
         g AS (SELECT doc_id, line, string_agg(w, ' ' ORDER BY x) AS raw, count(*) FILTER (regexp_full_match(w, '-?\\d+(\\.\\d+)?')) AS n_numbers,
-               sum(CASE WHEN regexp_full_match(w, '-?\\d+(\\.\\d+)?') THEN CAST(w AS DOUBLE) END) AS total FROM p GROUP BY 1, 2),
+               sum(CASE WHEN regexp_full_match(w, '-?\\d+(\\.\\d+)?') THEN least(CAST(w AS DOUBLE), 1000) END) AS total FROM p GROUP BY 1, 2),
         e AS (SELECT *, list_filter({ENTITY_SQL}, lambda e: starts_with(raw, e) OR contains(' ' || raw || ' ', ' ' || e || ' '))[1] AS entity FROM g)
         SELECT doc_id, line, entity, n_numbers, total, raw FROM e WHERE entity IS NOT NULL AND n_numbers >= 4""",
     num="total",
@@ -216,7 +216,7 @@ def _(t):
         F.when(i % 8 < 3, F.col("w")).otherwise(F.length("w").cast("string")).alias("text"),
     )
     lines = D.line_table(words, "doc_id", "top", "x", "text", ENTITIES)
-    total = F.aggregate("numbers", F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate("numbers", F.lit(0.0), lambda a, x: a + F.least(x, F.lit(1000.0)))
     return lines.select("doc_id", "line", "entity", F.size("numbers").alias("n_numbers"), total.alias("total"), "raw")
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from freshet.session import cut_lineage
+
 EPOCH = "2024-01-01 00:00:00"
 
 SPARK_VIEWS = {
@@ -65,7 +67,6 @@ SPARK_VIEWS = {
                CAST(get_json_object(props, '$.k') AS BIGINT) AS k
         FROM events""",
     "v9": "SELECT doc_id, quality, toxic FROM labels",
-    "basins": "SELECT DISTINCT l_suppkey % 4 AS basin FROM lineitem",
 }
 
 ORACLE_VIEWS = {
@@ -101,7 +102,6 @@ ORACLE_VIEWS = {
     "v8": """SELECT event_id, user_id % 8 AS station, ts, event_type, FLOOR(value * 64) / 64 AS value, props,
         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
     "v9": "SELECT doc_id, quality, toxic FROM labels",
-    "basins": "SELECT DISTINCT l_suppkey % 4 AS basin FROM lineitem",
     # v1 with missing hours as zero
     "v1d": """SELECT g.point_id, g.h, COALESCE(v1.mm, 0) AS mm FROM
         (SELECT point_id, unnest(range(lo, hi + 1)) AS h FROM (SELECT point_id, min(h) AS lo, max(h) AS hi FROM v1 GROUP BY 1)) g
@@ -133,6 +133,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._stored: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -149,6 +150,16 @@ class Inputs:
             return self.view(name)
         raise AttributeError(name)
 
+    def stored(self, name: str) -> DataFrame:
+        """A view written once and read back, for queries that use it several times.
+
+        The aggregated series are far smaller than their tables, so one pass over the table and a
+        small write beat a scan per use.
+        """
+        if name not in self._stored:
+            self._stored[name] = cut_lineage(self.view(name))
+        return self._stored[name]
+
     def bridge(self, width: int = 3) -> DataFrame:
-        """Basin s draws on the rain points s .. s+width-1."""
-        return self.basins.selectExpr("basin", f"explode(sequence(basin, basin + {width - 1})) AS point_id")
+        """Basin s of the four configured ones draws on the rain points s .. s+width-1."""
+        return self.spark.range(4).selectExpr("id AS basin", f"explode(sequence(id, id + {width - 1})) AS point_id")

@@ -11,6 +11,7 @@ from freshet.operators import joins as J
 from freshet.operators import spatial as P
 from freshet.operators.chunks import chunk_width
 from freshet.plans import frames
+from freshet.session import cut_lineage
 
 
 @entry(
@@ -27,8 +28,14 @@ FRAME_NUM = "rain_24h rain_48h rain_14d rain_30d q qup dqup"
 
 def daily_frame(t):
     rain = J.catchment_mean(t.v3, t.bridge(), "point_id", "basin", "d", "mm", "rain_24h")
-    upstream = t.basins.select("basin", ((F.col("basin") + 1) % 4).alias("site"))
-    return frames.daily_frame(rain, t.v2.withColumnRenamed("site", "basin"), t.v2.join(upstream, "site").drop("site"))
+    q = t.stored("v2").withColumnRenamed("site", "basin")
+    # the next site is upstream of each basin
+    return frames.daily_frame(rain, q, q.withColumn("basin", (F.col("basin") + 3) % 4))
+
+
+def stored_frame(t):
+    """The daily frame as a table, for plans that read it several times."""
+    return cut_lineage(daily_frame(t))
 
 
 @entry("daily_frame_join", "SELECT * FROM frame", num=FRAME_NUM, text="d")
@@ -101,7 +108,7 @@ def _(t):
 )
 def _(t):
     near = P.nearest_k(t.v5v, t.v5p, "pid", k=1)
-    targets = t.v5p.filter("pid % 10 < 4").select("pid", (F.col("pid") % 10).alias("basin"))
+    targets = t.v5p.select("pid", F.when(F.col("pid") % 10 < 4, F.col("pid") % 10).alias("basin"))
     own = t.v5v.select("id", "lat", "lon").join(near, ["lat", "lon"]).join(targets, "pid", "left")
     return own.select("id", "pid", "km", "basin")
 
@@ -109,13 +116,13 @@ def _(t):
 @entry(
     "nearest_vertex_boxed",
     f"""SELECT v.id, n.vid, n.km FROM v5v v LEFT JOIN (SELECT id, vid, {hav('lat', 'lon', 'vlat', 'vlon')} AS km FROM v5v, v5r
-          WHERE vid % 11 = 0 AND vlat < 26 AND abs(vlat - lat) <= 0.6 AND abs(vlon - lon) <= 0.6
+          WHERE vlat < 25.3 AND abs(vlat - lat) <= 0.6 AND abs(vlon - lon) <= 0.6
           QUALIFY row_number() OVER (PARTITION BY id ORDER BY floor({hav('lat', 'lon', 'vlat', 'vlon')} * 1e6), vid) = 1) n USING (id)""",
     num="km",
 )
 def _(t):
-    # a sparse river in the south only, so that some boxes are empty
-    river = t.v5r.filter("vid % 11 = 0 AND vlat < 26")
+    # a river in the south only, so that boxes in the north are empty
+    river = t.v5r.filter("vlat < 25.3")
     near = P.nearest_k(t.v5v, river, "vid", k=1, box=0.6, to=("vlat", "vlon"))
     return t.v5v.select("id", "lat", "lon").join(near, ["lat", "lon"], "left").select("id", "vid", "km")
 
@@ -163,14 +170,14 @@ def _(t):
     return frames.extent_summary(states, t.v5n.select("poly"), t.v5v, "poly")
 
 
-def scene_inputs(t):
+def scene_inputs(t, half=0.2):
     lat, lon = F.col("clat"), F.col("clon")
     events = t.v5n.select(
         F.col("poly").alias("event"),
         (lat - 0.2).alias("south"),
         (lat + 0.2).alias("north"),
-        (lon - 0.2).alias("west"),
-        (lon + 0.2).alias("east"),
+        (lon - half).alias("west"),
+        (lon + half).alias("east"),
         F.lit("2024-01-25").alias("prefer_after"),
         lat.alias("clat"),
         lon.alias("clon"),
@@ -218,10 +225,32 @@ def _(t):
     return P.best_scene(*scene_inputs(t), "event", "scene")
 
 
-@entry("clip_to_footprint", num="west south east north")
+CLIP_SQL = SCENE_SQL.replace("clon - 0.2::DOUBLE", "clon - 0.4::DOUBLE").replace("clon + 0.2::DOUBLE", "clon + 0.4::DOUBLE")
+INSIDE_SQL = "sum(CASE WHEN (e[2] > y) <> (e[4] > y) AND x < (e[3] - e[1]) * (y - e[2]) / NULLIF(e[4] - e[2], 0) + e[1] THEN 1 ELSE 0 END) % 2 = 1"
+
+
+@entry(
+    "clip_to_footprint",
+    f"""WITH best AS ({CLIP_SQL}), ar AS (SELECT event, scene, clon - 0.4::DOUBLE AS w, clon + 0.4::DOUBLE AS e_, clat - 0.2::DOUBLE AS s, clat + 0.2::DOUBLE AS n FROM best JOIN v5n ON poly = event),
+        sh AS (SELECT pid AS scene, 0.15::DOUBLE + (pid % 5) * 0.05::DOUBLE AS w, clon + ((pid % 7) - 3) * 0.06::DOUBLE AS sx, clat + ((pid % 3) - 1) * 0.05::DOUBLE AS sy FROM v5p JOIN v5n ON poly = pdistrict),
+        ed AS (SELECT scene, unnest([[sx + -w, sy + (-w - 0.02::DOUBLE), sx + w, sy + (-w + 0.02::DOUBLE)], [sx + w, sy + (-w + 0.02::DOUBLE), sx + w, sy + (w + 0.02::DOUBLE)],
+          [sx + w, sy + (w + 0.02::DOUBLE), sx + -w, sy + (w - 0.02::DOUBLE)], [sx + -w, sy + (w - 0.02::DOUBLE), sx + -w, sy + (-w - 0.02::DOUBLE)]]) AS e FROM sh),
+        l1 AS (SELECT event, scene, w + (e_ - w) * i / 119 AS x, s + (n - s) * j / 59 AS y FROM ar, range(120) a(i), range(60) b(j)),
+        i1 AS (SELECT event, x, y FROM l1 JOIN ed USING (scene) GROUP BY 1, 2, 3 HAVING {INSIDE_SQL}),
+        we AS (SELECT ar.event, greatest(any_value(w), max(a)) AS cw, least(any_value(e_), min(b)) AS ce FROM ar JOIN (SELECT event, y, min(x) AS a, max(x) AS b FROM i1 GROUP BY 1, 2) k USING (event) GROUP BY 1),
+        l2 AS (SELECT ar.event, scene, cw + (ce - cw) * i / 59 AS x, s + (n - s) * j / 59 AS y FROM ar JOIN we USING (event), range(60) a(i), range(60) b(j) WHERE ce > cw),
+        i2 AS (SELECT event, x, y FROM l2 JOIN ed USING (scene) GROUP BY 1, 2, 3 HAVING {INSIDE_SQL}),
+        sn AS (SELECT ar.event, greatest(any_value(s), max(a)) AS cs, least(any_value(n), min(b)) AS cn FROM ar JOIN (SELECT event, x, min(y) AS a, max(y) AS b FROM i2 GROUP BY 1, 2) k USING (event) GROUP BY 1),
+        bx AS (SELECT event, scene, cw + 0.01::DOUBLE AS west, cs + 0.01::DOUBLE AS south, ce - 0.01::DOUBLE AS east, cn - 0.01::DOUBLE AS north FROM ar JOIN we USING (event) JOIN sn USING (event)),
+        ck AS (SELECT event, k, CASE WHEN k IN (0, 3) THEN west ELSE east END AS x, CASE WHEN k IN (0, 1) THEN south ELSE north END AS y, scene FROM bx, range(4) r(k)),
+        ok AS (SELECT event FROM (SELECT event, k FROM ck JOIN ed USING (scene) GROUP BY event, k, x, y HAVING {INSIDE_SQL}) GROUP BY 1 HAVING count(*) = 4)
+        SELECT event, west, south, east, north FROM bx JOIN ok USING (event) WHERE east - west >= 0.05 AND north - south >= 0.05""",
+    num="west south east north",
+)
 def _(t):
-    events, scenes = scene_inputs(t)
-    best = P.best_scene(events, scenes, "event", "scene").filter(~F.col("full")).select("event", "scene")
+    # an area too wide for any one scene
+    events, scenes = scene_inputs(t, half=0.4)
+    best = P.best_scene(events, scenes, "event", "scene").select("event", "scene")
     chosen = events.join(best, "event").join(scenes.select("event", "scene", "edges"), ["event", "scene"])
     return P.clip_to_footprint(chosen, "event")
 
@@ -291,7 +320,7 @@ def _(t):
 
 PLACE_SQL = """WITH pl AS (SELECT c_custkey AS id, c_nationkey % 5 AS district, CASE c_custkey % 4 WHEN 0 THEN p_name WHEN 1 THEN 'old ' || p_name WHEN 2 THEN split_part(p_name, ' ', 1) ELSE 'nowhere' END AS name,
            lat, lon FROM customer JOIN part ON p_partkey = c_custkey JOIN v5v ON id = c_custkey),
-       gz AS (SELECT p_partkey AS gid, p_partkey % 5 AS district, p_name AS name, vlat, vlon FROM part JOIN v5r ON vid = p_partkey WHERE p_partkey % 3 = 0),
+       gz AS (SELECT p_partkey AS gid, p_partkey % 5 AS district, p_name AS name, vlat, vlon FROM part JOIN v5r ON vid = p_partkey),
        al AS (SELECT DISTINCT 'old ' || p_name AS name, p_name AS alias FROM part),
        hit AS (SELECT pl.id, gid, 0 AS tier, vlat, vlon FROM pl JOIN gz ON gz.district = pl.district AND gz.name = pl.name
          UNION ALL SELECT pl.id, gid, 1, vlat, vlon FROM pl JOIN al ON al.name = pl.name JOIN gz ON gz.district = pl.district AND gz.name = al.alias
@@ -315,7 +344,7 @@ def _(t):
         "lat",
         "lon",
     )
-    gaz = part.join(t.v5r, F.col("vid") == F.col("p_partkey")).filter("p_partkey % 3 = 0").select(
+    gaz = part.join(t.v5r, F.col("vid") == F.col("p_partkey")).select(
         F.col("vid").alias("gid"), (F.col("vid") % 5).alias("district"), name.alias("name"), F.col("vlat").alias("plat"), F.col("vlon").alias("plon")
     )
     alias = part.select(F.concat(F.lit("old "), name).alias("name"), name.alias("alias"), F.lit(1).alias("tier")).distinct()

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from freshet.catalog.aggregates import SLOPES_SQL, THR_SQL
-from freshet.catalog.joins import FRAME_NUM, daily_frame
+from freshet.catalog.joins import FRAME_NUM, daily_frame, stored_frame
 from freshet.catalog.registry import entry
 from freshet.catalog.screens import VAL_YEARS
 from freshet.operators import aggregates as A
@@ -63,7 +63,7 @@ SCORE_NUM = "mae rmse mae_persistence skill bias pod far mean_lead"
 
 @entry("baseline_lag_rule", f"WITH {PREDS_SQL} SELECT basin, d, h, pred FROM preds WHERE candidate = 'lag_rule'", num="pred", text="d")
 def _(t):
-    return B.predictions(daily_frame(t), VAL_YEARS).filter("candidate = 'lag_rule'").select("basin", "d", "h", "pred")
+    return B.predictions(stored_frame(t), VAL_YEARS).filter("candidate = 'lag_rule'").select("basin", "d", "h", "pred")
 
 
 ISSUED_SQL = """issued AS (SELECT basin, d, avg(fc1) AS fc1, avg(fc2) AS fc2 FROM (SELECT site AS point_id, target AS d, COALESCE(sum(CASE WHEN lead_d <= 96 THEN fc END), 0) / 10 AS fc1, COALESCE(sum(CASE WHEN lead_d > 48 THEN fc END), 0) / 10 AS fc2
@@ -94,17 +94,17 @@ FC_RULE_SQL = f"""{ISSUED_SQL}, nx AS (SELECT basin, d, q, lead(rain_24h) OVER (
 
 @entry("baseline_fc_rule", f"WITH {FC_RULE_SQL} SELECT * FROM fr", num="actual pers pred", text="d")
 def _(t):
-    return B.forecast_rule(daily_frame(t), issued(t), VAL_YEARS).drop("h", "candidate")
+    return B.forecast_rule(stored_frame(t), issued(t), VAL_YEARS).drop("h", "candidate")
 
 
 @entry("walk_forward_backtest", f"WITH {PREDS_SQL}, {SCORES_SQL} SELECT * FROM scores", num=SCORE_NUM)
 def _(t):
-    return B.backtest(daily_frame(t), VAL_YEARS)
+    return B.backtest(stored_frame(t), VAL_YEARS)
 
 
 @entry("gbt_walk_forward", num=SCORE_NUM)
 def _(t):
-    f = daily_frame(t)
+    f = stored_frame(t)
     feats = Fr.feature_frame(f)
     preds = Ln.walk_forward(feats, [2000, 2001], (1,), "gbt", maxIter=4, maxDepth=3)
     return B.season_scores(preds, B.fold_quantiles(f, ["basin"], "d", "q", [2000, 2001]))
@@ -112,7 +112,7 @@ def _(t):
 
 @entry("candidate_selection", num="mae")
 def _(t):
-    feats = Fr.feature_frame(daily_frame(t))
+    feats = Fr.feature_frame(stored_frame(t))
     return Ln.select_candidate(feats, 1999, {"gbt": {"maxIter": 4, "maxDepth": 3}, "forest": {"numTrees": 6, "maxDepth": 4}})
 
 
@@ -126,7 +126,7 @@ def _(t):
     num="best_mae",
 )
 def _(t):
-    return B.ship_rule(B.backtest(daily_frame(t), VAL_YEARS), "climatology")
+    return B.ship_rule(B.backtest(stored_frame(t), VAL_YEARS), "climatology")
 
 
 @entry(
@@ -136,17 +136,17 @@ def _(t):
         SELECT *, CASE WHEN gated_wins = 2 THEN 'climatology' WHEN rule_wins = 2 THEN 'lag_rule' ELSE 'keep' END AS shipped FROM k""",
 )
 def _(t):
-    return B.both_seasons_rule(B.backtest(daily_frame(t), VAL_YEARS), "climatology", "lag_rule", "persistence", [1999, 2000])
+    return B.both_seasons_rule(B.backtest(stored_frame(t), VAL_YEARS), "climatology", "lag_rule", "persistence", [1999, 2000])
 
 
 @entry("pooled_residuals", f"WITH {PREDS_SQL} SELECT basin, val_year, d, h, candidate, actual - pred AS residual FROM preds WHERE actual - pred IS NOT NULL", num="residual", text="d")
 def _(t):
-    return B.residuals(B.predictions(daily_frame(t), VAL_YEARS))
+    return B.residuals(B.predictions(stored_frame(t), VAL_YEARS))
 
 
 @entry("leakage_check", "SELECT count(*) AS n_rows, 0 AS n_violations FROM frame WHERE d <= DATE '1999-06-30'")
 def _(t):
-    f = daily_frame(t)
+    f = stored_frame(t)
     probe = F.lit("1999-06-30").cast("date")
     bad = Fr.leakage_rows(f, probe).agg(F.count(F.lit(1)).alias("n"))
     rows = f.filter(F.col("d") <= probe).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -160,7 +160,7 @@ XCORR_SQL = """qs AS (SELECT *, row_number() OVER (PARTITION BY basin ORDER BY d
 
 
 def pairs(t):
-    return Lg.lag_pairs(daily_frame(t), t.v2.withColumnRenamed("site", "basin"), ["rain_24h", "rain_48h"])
+    return Lg.lag_pairs(daily_frame(t), t.stored("v2").withColumnRenamed("site", "basin"), ["rain_24h", "rain_48h"])
 
 
 @entry("lag_crosscorr", f"WITH {XCORR_SQL} SELECT * FROM xc", num="r_q r_dq")
@@ -215,7 +215,7 @@ MARKS_SQL = "(SELECT site, CASE WHEN site <> 3 THEN 180.0 END AS thr FROM (SELEC
 
 
 def warning_marks(t):
-    return t.v2.select("site").distinct().withColumn("thr", F.when(F.col("site") != 3, 180.0))
+    return t.stored("v2").select("site").distinct().withColumn("thr", F.when(F.col("site") != 3, 180.0))
 
 
 def forecasts(t):
@@ -235,7 +235,7 @@ def forecasts(t):
     num="mae mae_persistence skill bias pod far",
 )
 def _(t):
-    return V.lead_bucket_score(forecasts(t), t.v2, warning_marks(t))
+    return V.lead_bucket_score(forecasts(t), t.stored("v2"), warning_marks(t))
 
 
 @entry(
@@ -250,7 +250,7 @@ def _(t):
     num="mae mae_persistence skill bias pod far",
 )
 def _(t):
-    return V.lead_day_score(forecasts(t), t.v2, warning_marks(t), min_pairs=8)
+    return V.lead_day_score(forecasts(t), t.stored("v2"), warning_marks(t), min_pairs=8)
 
 
 @entry(
@@ -268,7 +268,7 @@ def _(t):
     text="first_alarm",
 )
 def _(t):
-    f = daily_frame(t)
+    f = stored_frame(t)
     p = B.predictions(f, VAL_YEARS).filter("candidate = 'lag_rule' AND h = 1")
     res = B.residuals(p.filter("val_year < 2001"))
     thr = B.fold_quantiles(f, ["basin"], "d", "q", [2001]).drop("val_year")

@@ -16,8 +16,9 @@ NOW = 600
 
 def rain_points(t):
     """Every rain point with the trailing and coming sums of its series (point pid % 8), in mm / 40."""
-    a = Wn.trailing_n_rows(t.v1, "point_id", "h", "mm", NOW, 24)
-    b = Wn.trailing_n_rows(t.v1, "point_id", "h", "mm", NOW, 48).select("point_id", F.col("observed_sum").alias("s48"))
+    v1 = t.stored("v1")
+    a = Wn.trailing_n_rows(v1, "point_id", "h", "mm", NOW, 24)
+    b = Wn.trailing_n_rows(v1, "point_id", "h", "mm", NOW, 48).select("point_id", F.col("observed_sum").alias("s48"))
     s = a.join(b, "point_id").select(
         "point_id", (F.col("observed_sum") / 40).alias("h24"), (F.col("s48") / 40).alias("h48"), (F.col("forecast_sum") / 40).alias("next24")
     )
@@ -26,13 +27,14 @@ def rain_points(t):
 
 
 def river_points(t):
-    return t.v5p.filter("pid % 5 = 2").select(F.col("pid").alias("rid"), F.col("plat").alias("rlat"), F.col("plon").alias("rlon"), (F.col("pid") % 4).alias("site"))
+    return t.v5n.select(F.col("poly").alias("rid"), F.col("clat").alias("rlat"), F.col("clon").alias("rlon"), (F.col("poly") % 4).cast("bigint").alias("site"))
 
 
 def rivers(t):
-    recent = Wn.latest_rows_stats(t.v2.filter("d <= date'2001-06-30'"), "site", "d", "q")
+    q = t.stored("v2")
+    recent = Wn.latest_rows_stats(q.filter("d <= date'2001-06-30'"), "site", "d", "q")
     probe = recent.select("site", F.col("latest_day").alias("d"), F.col("latest").alias("v"))
-    seas = A.seasonal_percentile(t.v2.filter("year(d) < 2001"), probe, "site", "d", "q", "v").select("site", F.col("share").alias("seasonal"))
+    seas = A.seasonal_percentile(q.filter("year(d) < 2001"), probe, "site", "d", "q", "v").select("site", F.col("share").alias("seasonal"))
     used = recent.join(seas, "site", "left").select("site", F.coalesce("seasonal", "share").alias("share"))
     r = river_points(t).join(used, "site")
     return r.withColumn("basin", F.when(F.col("rid") % 3 == 0, F.col("site"))).withColumn("live", F.col("rid") % 15 != 7)
@@ -40,7 +42,7 @@ def rivers(t):
 
 def models(t):
     q = F.col("q")
-    m = t.v2.filter("year(d) = 2001").groupBy(F.col("site").alias("basin")).agg(
+    m = t.stored("v2").filter("year(d) = 2001").groupBy(F.col("site").alias("basin")).agg(
         F.avg((q >= 180).cast("double")).alias("p_elevated"), F.avg((q >= 150).cast("double")).alias("p_extreme")
     )
     return m.withColumn("degraded", F.col("basin") == 1)
@@ -54,7 +56,7 @@ def previous(t):
 
 
 RIVER_SQL = f"""used AS (SELECT site, used AS share FROM ({ENTRIES['latest30_stats'].sql})),
-   rv AS (SELECT pid AS rid, plat AS rlat, plon AS rlon, pid % 4 AS site FROM v5p WHERE pid % 5 = 2),
+   rv AS (SELECT poly AS rid, clat AS rlat, clon AS rlon, poly % 4 AS site FROM v5n),
    near_rv AS (SELECT id, rid, site, {hav('lat', 'lon', 'rlat', 'rlon')} AS river_km FROM v5v, rv QUALIFY row_number() OVER (PARTITION BY id ORDER BY floor({hav('lat', 'lon', 'rlat', 'rlon')} * 1e6), rid) = 1),
    near_rp AS (SELECT id, pid, {hav('lat', 'lon', 'plat', 'plon')} AS km FROM v5v, v5p QUALIFY row_number() OVER (PARTITION BY id ORDER BY floor({hav('lat', 'lon', 'plat', 'plon')} * 1e6), pid) <= 2)"""
 
@@ -85,8 +87,9 @@ REPLAY_DAY = "2001-06-01"
 
 
 def replay(t):
-    steps = t.v1.groupBy("point_id").agg(F.max("h").alias("hi")).select("point_id", F.expr("explode(sequence(24L, hi, 24L))").alias("h"))
-    sums = Wn.trailing_window_at(t.v1, steps, "point_id", "h", "mm")
+    v1 = t.stored("v1")
+    steps = v1.groupBy("point_id").agg(F.max("h").alias("hi")).select("point_id", F.expr("explode(sequence(24L, hi, 24L))").alias("h"))
+    sums = Wn.trailing_window_at(v1, steps, "point_id", "h", "mm")
     sums = t.v5p.select("pid", (F.col("pid") % 8).alias("point_id")).join(sums, "point_id").select(
         "pid", F.col("h").alias("step"), (F.col("sum_24h") / 40).alias("sum_24h"), (F.col("sum_48h") / 40).alias("sum_48h")
     )
@@ -123,7 +126,7 @@ def _(t):
     num="value",
 )
 def _(t):
-    spikes = Wn.record_spikes(t.v1, "point_id", "h", "mm", start=240)
+    spikes = Wn.record_spikes(t.stored("v1"), "point_id", "h", "mm", start=240)
     near = t.v2.filter("d BETWEEN date'1998-04-01' AND date'1998-09-30'")
     ranked = Wn.trailing_rank_every_day(near, "site", "d", "q").filter("d >= date'1998-06-01'")
     cross = Wn.first_crossing(ranked, "site", "d", "share", F.lit(0.9))

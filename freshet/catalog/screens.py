@@ -9,6 +9,7 @@ from freshet.operators import joins as J
 from freshet.operators import quality as Q
 from freshet.operators import raster as X
 from freshet.operators.chunks import chunk_width
+from freshet.session import cut_lineage
 
 VAL_YEARS = [1998, 1999, 2000, 2001]
 
@@ -37,30 +38,40 @@ def _(t):
     )
 
 
-# stations made to behave differently: a counter, a broken one, a silent one, a sparse one
-GAUGES_SQL = """g AS (SELECT event_id, station, ts, CASE station WHEN 0 THEN event_id / 64 % 40 WHEN 1 THEN value * 100 ELSE value END AS v FROM v1r
-       WHERE NOT (station = 2 AND event_id % 200 <> 2) AND NOT (station = 3 AND event_id % 5 <> 3))"""
+# stations made to behave differently: a counter, a broken one, one mostly invalid, a sparse one
+GAUGES_SQL = """g AS (SELECT event_id, station, ts, CASE station WHEN 0 THEN event_id / 64 % 40 WHEN 1 THEN value * 100 WHEN 2 THEN CASE WHEN event_id % 200 = 2 THEN value ELSE -9 END
+       WHEN 3 THEN CASE WHEN event_id % 5 = 3 THEN value ELSE -9 END ELSE value END AS v FROM v1r)"""
 
 
 def gauges(t):
-    e, s = F.col("event_id"), F.col("station")
-    v = F.when(s == 0, e / 64 % 40).when(s == 1, F.col("value") * 100).otherwise(F.col("value"))
-    keep = ~((s == 2) & (e % 200 != 2)) & ~((s == 3) & (e % 5 != 3))
-    return t.v1r.filter(keep).select("event_id", "station", "ts", v.alias("v"))
+    e, s, v = F.col("event_id"), F.col("station"), F.col("value")
+    read = (
+        F.when(s == 0, e / 64 % 40)
+        .when(s == 1, v * 100)
+        .when(s == 2, F.when(e % 200 == 2, v).otherwise(-9.0))
+        .when(s == 3, F.when(e % 5 == 3, v).otherwise(-9.0))
+        .otherwise(v)
+    )
+    return t.v1r.select("event_id", "station", "ts", read.alias("v"))
+
+
+def gauge_days(t):
+    g = gauges(t)
+    return Q.station_days(g, "station", "ts", "event_id", "v", width=chunk_width(g, "ts"))
 
 
-MODES_SQL = f"""{GAUGES_SQL}, p AS (SELECT *, lag(v) OVER (PARTITION BY station ORDER BY ts, event_id) AS pv FROM g),
+MODES_SQL = f"""{GAUGES_SQL}, p AS (SELECT *, lag(v) OVER (PARTITION BY station ORDER BY ts, event_id) AS pv FROM g WHERE v >= 0),
        s AS (SELECT station, count(*) AS n_readings, max(v) AS max_value, avg((v >= pv)::INT) AS nondecreasing FROM p GROUP BY 1),
-       m AS (SELECT station, median(n) AS per_day FROM (SELECT station, CAST(ts AS DATE) AS d, count(*) AS n FROM g GROUP BY 1, 2) GROUP BY 1),
-       e AS (SELECT *, CASE WHEN n_readings < 200 THEN 'too few valid readings' WHEN max_value > 1000 THEN 'implausible extremes'
-              WHEN nondecreasing >= 0.95 THEN NULL WHEN per_day < 12 THEN 'sparse incremental reporting' END AS excluded FROM s JOIN m USING (station)),
+       m AS (SELECT station, median(n) AS per_day FROM (SELECT station, CAST(ts AS DATE) AS d, count(*) AS n FROM p GROUP BY 1, 2) GROUP BY 1),
+       a0 AS (SELECT DISTINCT station FROM g),
+       e AS (SELECT station, COALESCE(n_readings, 0) AS n_readings, max_value, nondecreasing, per_day, CASE WHEN COALESCE(n_readings, 0) < 200 THEN 'too few valid readings' WHEN max_value > 1000 THEN 'implausible extremes'
+              WHEN nondecreasing >= 0.95 THEN NULL WHEN per_day < 12 THEN 'sparse incremental reporting' END AS excluded FROM a0 LEFT JOIN s USING (station) LEFT JOIN m USING (station)),
        modes AS (SELECT *, CASE WHEN excluded IS NULL THEN CASE WHEN nondecreasing >= 0.95 THEN 'cumulative' ELSE 'incremental' END END AS mode FROM e)"""
 
 
 @entry("sensor_mode_classify", f"WITH {MODES_SQL} SELECT * FROM modes", num="max_value nondecreasing per_day")
 def _(t):
-    g = gauges(t)
-    return Q.sensor_modes(g, "station", "ts", "event_id", "v", min_rows=200, width=chunk_width(g, "ts"))
+    return Q.sensor_modes(gauge_days(t), "station", min_rows=200)
 
 
 @entry(
@@ -72,10 +83,8 @@ def _(t):
     text="d",
 )
 def _(t):
-    g = gauges(t)
-    width = chunk_width(g, "ts")
-    modes = Q.sensor_modes(g, "station", "ts", "event_id", "v", min_rows=200, width=width)
-    return Q.gauge_daily(g, modes, "station", "ts", "event_id", "v", width=width).drop("mode")
+    days = cut_lineage(gauge_days(t))
+    return Q.gauge_daily(days, Q.sensor_modes(days, "station", min_rows=200), "station").drop("mode")
 
 
 @entry(

@@ -93,8 +93,9 @@ def _(t):
     text="latest_day",
 )
 def _(t):
-    recent = Wn.latest_rows_stats(t.v2.filter("d <= date'2001-06-30'"), "site", "d", "q").drop("before", "trend_pct")
-    history = t.v2.filter("year(d) < 2001")
+    q = t.stored("v2")
+    recent = Wn.latest_rows_stats(q.filter("d <= date'2001-06-30'"), "site", "d", "q").drop("before", "trend_pct")
+    history = q.filter("year(d) < 2001")
     probe = recent.select("site", F.col("latest_day").alias("d"), F.col("latest").alias("v"))
     seas = A.seasonal_percentile(history, probe, "site", "d", "q", "v").select("site", F.col("share").alias("seasonal"))
     return recent.join(seas, "site", "left").withColumn("used", F.coalesce("seasonal", "share"))
@@ -168,7 +169,7 @@ def _(t):
 
 
 def dense_hours(t):
-    return Wn.densify(t.v1, ["point_id"], "h", "mm", fill=0.0)
+    return Wn.densify(t.stored("v1"), ["point_id"], "h", "mm", fill=0.0)
 
 
 @entry(
@@ -226,13 +227,13 @@ def _(t):
     return Wn.biggest_jump(t.v2.filter("d BETWEEN date'1998-06-01' AND date'1998-09-30'"), "site", "d", "q")
 
 
-STATES_SQL = """SELECT point_id, h, CASE WHEN s >= 2600 THEN 'RED' WHEN s >= 2100 THEN 'YELLOW' ELSE 'GREEN' END AS state FROM (
+STATES_SQL = """SELECT point_id, h, CASE WHEN s % 3000 >= 2600 THEN 'RED' WHEN s % 3000 >= 2100 THEN 'YELLOW' ELSE 'GREEN' END AS state FROM (
       SELECT point_id, h, SUM(mm) OVER (PARTITION BY point_id ORDER BY h RANGE BETWEEN 23 PRECEDING AND CURRENT ROW) AS s FROM v1d) WHERE h % 6 = 0"""
 
 
 def states(t):
     s = A.rolled_hours(dense_hours(t), "point_id", "h", "mm", 24, "s", partial=True).filter("h % 6 = 0")
-    return s.select("point_id", "h", F.expr("CASE WHEN s >= 2600 THEN 'RED' WHEN s >= 2100 THEN 'YELLOW' ELSE 'GREEN' END").alias("state"))
+    return s.select("point_id", "h", F.expr("CASE WHEN s % 3000 >= 2600 THEN 'RED' WHEN s % 3000 >= 2100 THEN 'YELLOW' ELSE 'GREEN' END").alias("state"))
 
 
 TRANSITIONS_SQL = f"""WITH st AS ({STATES_SQL}), x AS (SELECT *, lag(state) OVER (PARTITION BY point_id ORDER BY h) AS was FROM st),
@@ -339,9 +340,10 @@ def _(t):
     num="total",
 )
 def _(t):
-    cur = t.v1.filter("h BETWEEN 696 AND 719 AND point_id % 3 <> 0").groupBy("point_id").agg(F.sum("mm").alias("total"))
-    prev = t.v1.filter("h BETWEEN 600 AND 695 AND point_id <> 6").groupBy("point_id").agg(
+    v1 = t.stored("v1")
+    cur = v1.filter("h BETWEEN 696 AND 719 AND point_id % 3 <> 0").groupBy("point_id").agg(F.sum("mm").alias("total"))
+    prev = v1.filter("h BETWEEN 600 AND 695 AND point_id <> 6").groupBy("point_id").agg(
         F.sum("mm").alias("total"), F.max("h").alias("since")
     )
-    keys = t.v1.select("point_id").distinct()
+    keys = v1.select("point_id").distinct()
     return J.carry_forward(keys, cur, prev, "point_id", "total", "since", F.lit(720))

@@ -90,20 +90,20 @@ def value_at(df: DataFrame, obs: DataFrame, key: str, day: str, value: str, at:
 def pre_post_pair(scenes: DataFrame, event: list[str], window: str, orbit: str, order: list[str]) -> DataFrame:
     """First peak scene that has a pre scene of its orbit, with the latest such; else first peak and latest pre.
 
-    ``order`` is (acquired, ids...). Only aggregates per (event, orbit) are joined.
+    ``order`` is (acquired, ids...). Scenes are read once, into one row per (event, orbit).
     """
     o = F.struct(*order)
-    pre, peak = scenes.filter(F.col(window) == "pre"), scenes.filter(F.col(window) == "peak")
-    pre_by = pre.groupBy(*event, orbit).agg(F.max(o).alias("pre"))
-    pre_any = pre.groupBy(*event).agg(F.max(o).alias("pre_any"))
-    peak_by = peak.groupBy(*event, orbit).agg(F.min(o).alias("peak"))
-    peak_any = peak.groupBy(*event).agg(F.min(o).alias("peak_any"))
-    same = pre_by.join(peak_by, [*event, orbit]).groupBy(*event).agg(F.min_by(F.struct("pre", "peak"), "peak").alias("_same"))
-    out = pre_any.join(peak_any, event).join(same, event, "left")
-    return out.select(
+    by = scenes.groupBy(*event, orbit).agg(
+        F.max(F.when(F.col(window) == "pre", o)).alias("pre"), F.min(F.when(F.col(window) == "peak", o)).alias("peak")
+    )
+    matched = F.when(F.col("pre").isNotNull() & F.col("peak").isNotNull(), F.col("peak"))
+    g = by.groupBy(*event).agg(
+        F.max("pre").alias("_pre"), F.min("peak").alias("_peak"), F.min_by(F.struct("pre", "peak"), matched).alias("_same")
+    )
+    return g.filter(F.col("_pre").isNotNull() & F.col("_peak").isNotNull()).select(
         *event,
-        F.coalesce("_same.pre", "pre_any").alias("pre"),
-        F.coalesce("_same.peak", "peak_any").alias("peak"),
+        F.coalesce("_same.pre", "_pre").alias("pre"),
+        F.coalesce("_same.peak", "_peak").alias("peak"),
         F.col("_same").isNotNull().alias("same_orbit"),
     )
 

@@ -22,55 +22,64 @@ def range_reason(v: Column, cap: float = SPIKE_MM, absurd: float = 1e6) -> Colum
     return F.when(v < 0, "negative").when(v >= absurd, "absurd").when(v > cap, "over cap")
 
 
-def sensor_modes(
-    readings: DataFrame, key: str, ts: str, tie: str, value: str, min_rows: int = MIN_READINGS, width: int = DAY_SECONDS
-) -> DataFrame:
-    """Per station: mode (incremental or cumulative) or the reason it is excluded, tested in order.
+def station_days(readings: DataFrame, key: str, ts: str, tie: str, value: str, width: int = DAY_SECONDS) -> DataFrame:
+    """One row per station and day with all that modes and daily totals need, in one pass.
 
-    Steps between readings come from the chunked lag, so a busy station is spread over tasks.
+    Steps between valid readings come from the chunked lag, so a busy station is spread over
+    tasks; what follows works on station days.
     """
-    ok = readings.filter(F.col(value) >= 0)
-    steps = previous_reading(ok, key, ts, tie, value, "_prev", width)
-    s = steps.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_readings"),
-        F.max(value).alias("max_value"),
-        F.avg((F.col(value) >= F.col("_prev")).cast("double")).alias("nondecreasing"),
+    v = readings.withColumn("_v", F.when(F.col(value) >= 0, F.col(value)))
+    steps = previous_reading(v, key, ts, tie, "_v", "_prev", width)
+    step = F.when(F.col("_v").isNotNull(), F.col("_v") - F.col("_prev"))
+    rise = F.when(step.isNotNull(), F.greatest(step, F.lit(0.0)))
+    calm = F.col("_v") <= SPIKE_MM
+    return steps.groupBy(key, F.col(ts).cast("date").alias("d")).agg(
+        F.count("_v").alias("n_valid"),
+        F.max("_v").alias("max_value"),
+        F.count(step).alias("n_steps"),
+        F.count_if(step >= 0).alias("n_up"),
+        F.sum(F.when(calm, F.col("_v"))).alias("total"),
+        F.count_if(calm).alias("n"),
+        F.sum(F.when(rise <= SPIKE_MM, rise)).alias("counter_total"),
+        F.count_if(rise <= SPIKE_MM).alias("counter_n"),
     )
-    per_day = ok.groupBy(key, F.col(ts).cast("date").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    median = per_day.groupBy(key).agg(F.percentile("_n", F.lit(0.5)).alias("per_day"))
-    s = readings.select(key).distinct().join(s, key, "left").join(median, key, "left")
+
+
+def sensor_modes(days: DataFrame, key: str, min_rows: int = MIN_READINGS) -> DataFrame:
+    """Per station: mode (incremental or cumulative) or the reason it is excluded, tested in order."""
+    s = days.groupBy(key).agg(
+        F.sum("n_valid").alias("n_readings"),
+        F.max("max_value").alias("max_value"),
+        (F.sum("n_up") / F.nullif(F.sum("n_steps"), F.lit(0))).alias("nondecreasing"),
+        F.percentile(F.when(F.col("n_valid") > 0, F.col("n_valid")), F.lit(0.5)).alias("per_day"),
+    )
+    counter = F.col("nondecreasing") >= CUMULATIVE_SHARE
     excluded = (
-        F.when(F.coalesce("n_readings", F.lit(0)) < min_rows, "too few valid readings")
+        F.when(F.col("n_readings") < min_rows, "too few valid readings")
         .when(F.col("max_value") > GARBAGE_MM, "implausible extremes")
-        .when(F.col("nondecreasing") >= CUMULATIVE_SHARE, F.lit(None).cast("string"))
+        .when(counter, F.lit(None).cast("string"))
         .when(F.col("per_day") < SPARSE_PER_DAY, "sparse incremental reporting")
     )
-    mode = F.when(
-        F.col("excluded").isNull(), F.when(F.col("nondecreasing") >= CUMULATIVE_SHARE, "cumulative").otherwise("incremental")
-    )
+    mode = F.when(F.col("excluded").isNull(), F.when(counter, "cumulative").otherwise("incremental"))
     return s.withColumn("excluded", excluded).withColumn("mode", mode)
 
 
-def gauge_daily(
-    readings: DataFrame, modes: DataFrame, key: str, ts: str, tie: str, value: str, width: int = DAY_SECONDS
-) -> DataFrame:
+def gauge_daily(days: DataFrame, modes: DataFrame, key: str) -> DataFrame:
     """Daily totals of usable stations on densely reported days.
 
     A counter's total is the sum of its positive steps, exact even when sparse; an incremental
     sensor needs a full day, else an outage looks like a dry spell.
     """
-    kept = readings.filter(F.col(value) >= 0).join(modes.filter(F.col("mode").isNotNull()).select(key, "mode"), key)
-    steps = previous_reading(kept, key, ts, tie, value, "_prev", width)
     counter = F.col("mode") == "cumulative"
-    amount = F.when(counter, F.greatest(F.col(value) - F.when(F.col("_prev").isNotNull(), F.col("_prev")), F.lit(0.0))).otherwise(F.col(value))
-    amount = F.when(counter & F.col("_prev").isNull(), F.lit(None)).otherwise(amount)
-    days = (
-        steps.withColumn("_amount", amount)
-        .filter(F.col("_amount") <= SPIKE_MM)
-        .groupBy(key, "mode", F.col(ts).cast("date").alias("d"))
-        .agg(F.sum("_amount").alias("total"), F.count(F.lit(1)).alias("n"))
+    j = days.join(modes.filter(F.col("mode").isNotNull()).select(key, "mode"), key)
+    out = j.select(
+        key,
+        "mode",
+        "d",
+        F.when(counter, F.col("counter_total")).otherwise(F.col("total")).alias("total"),
+        F.when(counter, F.col("counter_n")).otherwise(F.col("n")).alias("n"),
     )
-    return days.filter(F.col("n") >= F.when(F.col("mode") == "cumulative", COUNTER_READINGS).otherwise(DENSE_READINGS))
+    return out.filter(F.col("n") >= F.when(counter, COUNTER_READINGS).otherwise(DENSE_READINGS))
 
 
 def robust_band(df: DataFrame, key: str, value: str, min_range: float = 0.5) -> DataFrame:

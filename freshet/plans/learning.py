@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from freshet.operators import aggregates as A
 from freshet.plans.baselines import fold_quantiles
 from freshet.plans.frames import feature_columns
+from freshet.session import cut_lineage
 
 DISCHARGE = ("q", "q_lag1", "q_lag2", "dq", "dq_lag1", "qup", "dqup")
 
@@ -53,6 +54,8 @@ def fit_predict(feats: DataFrame, cols: list[str], h: int, train_before: int, pr
 def walk_forward(feats: DataFrame, val_years: list[int], horizons: tuple[int, ...] = (1, 2), kind: str = "gbt", cols: list[str] | None = None, **params) -> DataFrame:
     """Held-out season predictions of a learner, in the form of ``baselines.predictions``."""
     cols = cols or feature_columns(feats)
+    # a fit passes over its rows many times: read them from a table, not from the sources
+    feats = cut_lineage(feats)
     w = W.partitionBy("basin").orderBy("d")
     parts = []
     for year in val_years:

@@ -29,29 +29,30 @@ def held_value(asks: DataFrame, obs: DataFrame, key: str, ask: str, day: str, va
     return asks.join(held.select(key, F.col("_t").alias(ask), out), [key, ask], "left")
 
 
-def _events(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Threshold events over rows with forecast and observation; status says why there is no score."""
-    act, fc = F.col("obs") >= F.col("thr"), F.col("fc") >= F.col("thr")
-    g = rows.groupBy(*keys).agg(F.max("thr").alias("thr"), F.count_if(F.col("obs").isNotNull()).alias("ev_n"), *A.contingency_columns(act, fc))
-    status = (
-        F.when(F.col("thr").isNull(), "no threshold")
-        .when(F.col("ev_n") == 0, "no pairs")
-        .when((F.col("n_actual") == 0) & (F.col("n_predicted") == 0), "no crossings")
-        .otherwise("ok")
+def _score(rows: DataFrame, keys: list[str], has_events: str, min_pairs: int) -> DataFrame:
+    """Errors, and threshold events where ``has_events``, in one grouping.
+
+    The event status says why there is no score: no mark, nothing observed, or no crossing.
+    """
+    known = F.col("obs").isNotNull() & F.col(has_events)
+    act, fc = known & (F.col("obs") >= F.col("thr")), known & (F.col("fc") >= F.col("thr"))
+    g = rows.groupBy(*keys).agg(
+        *A.error_columns("obs", "fc", "pers"), *A.contingency_columns(act, fc), F.max("thr").alias("_thr"), F.count_if(known).alias("_known")
     )
-    ok = F.col("ev_status") == "ok"
-    out = g.withColumn("ev_status", status)
-    return out.select(
-        *keys,
-        "ev_status",
-        F.when(ok, F.col("n_actual")).alias("observed_above"),
-        F.when(ok, F.col("n_predicted")).alias("forecast_above"),
-        F.when(ok, F.col("pod")).alias("pod"),
-        F.when(ok, F.col("far")).alias("far"),
+    g = A.gate(g.drop("rmse", "n_hits"), "n", min_pairs, ["mae", "mae_persistence", "skill", "bias"])
+    status = F.when(
+        F.col("_known") > 0,
+        F.when(F.col("_thr").isNull(), "no threshold").when((F.col("n_actual") == 0) & (F.col("n_predicted") == 0), "no crossings").otherwise("ok"),
     )
+    g = g.withColumn("ev_status", status)
+    ok = F.col("ev_status") == "ok"
+    events = {"observed_above": "n_actual", "forecast_above": "n_predicted", "pod": "pod", "far": "far"}
+    return g.withColumns({out: F.when(ok, F.col(c)) for out, c in events.items()}).drop("n_actual", "n_predicted", "_thr", "_known")
 
 
-def lead_bucket_score(forecasts: DataFrame, obs: DataFrame, marks: DataFrame, key: str = "site", event_bucket: str = "24h", min_pairs: int = MIN_PAIRS) -> DataFrame:
+def lead_bucket_score(
+    forecasts: DataFrame, obs: DataFrame, marks: DataFrame, key: str = "site", event_bucket: str = "24h", min_pairs: int = MIN_PAIRS
+) -> DataFrame:
     """Per site and lead bucket: error, persistence error, skill, bias; warning events in one bucket.
 
     ``forecasts``: (site, issued, target, lead, fc); ``obs``: (site, d, q); ``marks``: (site, thr).
@@ -60,18 +61,16 @@ def lead_bucket_score(forecasts: DataFrame, obs: DataFrame, marks: DataFrame, ke
     bands = F.array(*[F.struct(F.lit(b).alias("bucket"), F.lit(lo).alias("_lo"), F.lit(hi).alias("_hi")) for b, (lo, hi) in LEAD_BUCKETS.items()])
     rows = forecasts.select("*", F.inline(bands)).filter((F.col("lead") >= F.col("_lo")) & (F.col("lead") < F.col("_hi")))
     rows = held_value(value_at(rows, obs, key, "d", "q", {"obs": "target"}), obs, key, "issued", "d", "q", "pers")
-    s = A.gate(A.error_metrics(rows, [key, "bucket"], "obs", "fc", "pers").drop("rmse"), "n", min_pairs, ["mae", "mae_persistence", "skill", "bias"])
-    ev = rows.filter(F.col("bucket") == event_bucket).join(marks, key, "left").filter(F.col("obs").isNotNull())
-    return s.join(_events(ev, [key, "bucket"]), [key, "bucket"], "left")
+    rows = rows.join(marks, key, "left").withColumn("_ev", F.col("bucket") == event_bucket)
+    return _score(rows, [key, "bucket"], "_ev", min_pairs)
 
 
 def lead_day_score(forecasts: DataFrame, obs: DataFrame, marks: DataFrame, key: str = "site", min_pairs: int = MIN_PAIRS) -> DataFrame:
     """Per site and lead day: same measures, persistence being the value of the issue day itself."""
     rows = forecasts.filter(F.col("lead").isin(*LEAD_DAYS))
     rows = value_at(rows, obs, key, "d", "q", {"obs": "target", "pers": "issued"})
-    s = A.gate(A.error_metrics(rows, [key, "lead"], "obs", "fc", "pers").drop("rmse"), "n", min_pairs, ["mae", "mae_persistence", "skill", "bias"])
-    ev = rows.filter("lead = 1").join(marks, key, "left").filter(F.col("obs").isNotNull())
-    return s.join(_events(ev, [key, "lead"]), [key, "lead"], "left")
+    rows = rows.join(marks, key, "left").withColumn("_ev", F.col("lead") == 1)
+    return _score(rows, [key, "lead"], "_ev", min_pairs)
 
 
 def out_of_sample_report(preds: DataFrame, residuals: DataFrame, thresholds: DataFrame) -> DataFrame:
