@@ -67,6 +67,7 @@ def nearest_k(
     levels: tuple[float, ...] = LEVELS,
     at: tuple[str, str] = ("lat", "lon"),
     to: tuple[str, str] = ("plat", "plon"),
+    distinct: bool = False,
 ) -> DataFrame:
     """The k nearest rows of ``right`` for each distinct place of ``left``: (keys, lat, lon, nth, pid, km).
 
@@ -74,17 +75,16 @@ def nearest_k(
     is decided once its k-th neighbour is nearer than that; the undecided rest moves to the next
     level, the last of which has one cell. ``box`` limits neighbours to +-box degrees (a place
     with none is absent). Equal distances (to a millimetre) go to the smaller id. ``planar``
-    measures in degrees instead of km. Each level is written to the shared folder.
+    measures in degrees instead of km. Each level is written to the shared folder. ``distinct``
+    says that ``left`` is already a table of distinct places.
     """
     keys = keys or []
     (lat, lon), (plat, plon) = at, to
     place = [*keys, lat, lon]
-    todo = cut_lineage(left.select(*place).distinct())
+    todo = left.select(*place) if distinct else cut_lineage(left.select(*place).distinct())
     # of points at one spot only the k smallest ids can matter
     spot = W.partitionBy(*keys, plat, plon).orderBy(pid)
-    points = cut_lineage(
-        right.select(*keys, plat, plon, pid).withColumn("_i", F.row_number().over(spot)).filter(F.col("_i") <= k).drop("_i")
-    )
+    points = right.select(*keys, plat, plon, pid).withColumn("_i", F.row_number().over(spot)).filter(F.col("_i") <= k).drop("_i")
     a, b = F.col(lat), F.col(plat)
     if planar:
         gap = F.sqrt(F.pow(a - b, 2) + F.pow(F.col(lon) - F.col(plon), 2))
@@ -92,7 +92,7 @@ def nearest_k(
         gap = G.haversine_km(a, F.col(lon), b, F.col(plon))
     sizes: list[float | None] = [s for s in levels if box is None or s * 2 <= box]
     sizes = [*sizes[_first_level(points, plat, plon, keys, k, sizes) :], box]
-    done = None
+    done, points_stored = None, False
     for size in sizes:
         last = size is box
         if size is None:
@@ -112,9 +112,12 @@ def nearest_k(
         decided = best.filter((F.col("nth") == k) & (F.col("km") < sure)).select(*place)
         kept = best.join(decided, place, "left_semi")
         done = kept if done is None else done.unionByName(kept)
-        todo = cut_lineage(todo.join(decided, place, "left_anti"))
-        if todo.isEmpty():
+        rest = todo.join(decided, place, "left_anti")
+        if rest.isEmpty():
             return done
+        # one level is the common case; the points become a table when more are needed
+        todo, points = cut_lineage(rest), (points if points_stored else cut_lineage(points))
+        points_stored = True
     return done
 
 

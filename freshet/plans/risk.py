@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions import scalars as S
 from freshet.operators.spatial import idw, nearest_k
+from freshet.session import cut_lineage
 
 
 def classify(
@@ -20,10 +21,11 @@ def classify(
     point, a live model of its basin overrides the rule. A place without live inputs keeps its
     last honest colour, marked stale, or is withheld.
     """
-    near = nearest_k(places, rain.select(pid, "plat", "plon"), pid, k=2)
+    spots = cut_lineage(places.select("lat", "lon").distinct())
+    near = nearest_k(spots, rain.select(pid, "plat", "plon"), pid, k=2, distinct=True)
     signals = rain.select(pid, "h24", "h48", "next24", F.when(F.col("live"), 1.0).otherwise(0.0).alias("rain_live"))
     wet = idw(places, "id", near, signals, pid, ["h24", "h48", "next24", "rain_live"])
-    river = nearest_k(places, rivers.select(rid, "rlat", "rlon"), rid, k=1, to=("rlat", "rlon"))
+    river = nearest_k(spots, rivers.select(rid, "rlat", "rlon"), rid, k=1, to=("rlat", "rlon"), distinct=True)
     r = places.select("id", "lat", "lon").join(river, ["lat", "lon"]).join(rivers.select(rid, "share", "basin", "live"), rid)
     r = r.select("id", rid, F.col("km").alias("river_km"), "share", "basin", "live")
     m = models.select("basin", "p_elevated", "p_extreme", F.col("degraded").alias("_deg"))
@@ -58,13 +60,13 @@ def replay(places: DataFrame, rain_points: DataFrame, sums: DataFrame, river_poi
     ``sums``: (pid, step, sum_24h, sum_48h); ``shares``: (rid, day, share). Work is per distinct
     place coordinate, spread to the places at the end. ``step_day`` maps a step column to its day.
     """
-    spots = places.select("lat", "lon").distinct()
-    near = nearest_k(spots, rain_points, pid, k=2)
+    spots = cut_lineage(places.select("lat", "lon").distinct())
+    near = nearest_k(spots, rain_points, pid, k=2, distinct=True)
     w = F.lit(1.0) / F.greatest(F.col("km"), F.lit(1.0))
     wet = near.withColumn("_w", w).join(sums, pid).groupBy("lat", "lon", "step").agg(
         (F.sum(F.col("_w") * F.col("sum_24h")) / F.sum("_w")).alias("rain24"), (F.sum(F.col("_w") * F.col("sum_48h")) / F.sum("_w")).alias("rain48")
     )
-    river = nearest_k(spots, river_points, rid, k=1, to=("rlat", "rlon")).select("lat", "lon", rid)
+    river = nearest_k(spots, river_points, rid, k=1, to=("rlat", "rlon"), distinct=True).select("lat", "lon", rid)
     j = wet.withColumn("day", step_day(F.col("step"))).join(river, ["lat", "lon"]).join(shares, [rid, "day"])
     total = S.rain_score(F.col("rain24"), F.col("rain48")) + S.discharge_score(F.col("share"))
     scored = j.select("lat", "lon", "step", "rain24", "rain48", "share", S.risk_class(total).alias("risk"))

@@ -80,8 +80,9 @@ def line_table(words: DataFrame, doc: str, top: str, x: str, text: str, entities
     A line is the words of one document with the same rounded height, so the arrays are as short
     as a printed line.
     """
-    line = F.bround(F.col(top) / line_height).cast("bigint")
-    g = words.groupBy(doc, line.alias("line")).agg(F.array_sort(F.collect_list(F.struct(F.col(x).alias("x"), F.col(text).alias("w")))).alias("_w"))
+    # gathering words shrinks nothing, so they are shuffled as they are and gathered once
+    lines = words.select(doc, F.bround(F.col(top) / line_height).cast("bigint").alias("line"), x, text).repartition(doc, "line")
+    g = lines.groupBy(doc, "line").agg(F.array_sort(F.collect_list(F.struct(F.col(x).alias("x"), F.col(text).alias("w")))).alias("_w"))
     toks = F.transform("_w", lambda s: s["w"])
     g = g.withColumn("_t", toks).withColumn("raw", F.array_join("_t", " "))
     padded = F.concat(F.lit(" "), F.col("raw"), F.lit(" "))
@@ -113,29 +114,32 @@ def label_numbers(df: DataFrame, numbers: str) -> DataFrame:
     )
 
 
+# a field read as text keeps a nested object as its own JSON, whether bare or wrapped
+SNAPSHOT_SCHEMA = (
+    "generated_at string, basin string, degraded boolean, shipped string, model string, error string, "
+    "inputs struct<q_today_m3s:string>, predictions struct<h1:struct<q_m3s:string,p_exceed_threshold:string>>, "
+    "threshold_m3s string, colour string"
+)
+
+
 def flatten_snapshot(docs: DataFrame, key: str, doc: str) -> DataFrame:
     """One ledger row per forecast snapshot; each field may be bare or wrapped with provenance."""
-    v = docs.select(key, F.try_parse_json(doc).alias("_v"))
+    d = docs.select(key, F.from_json(doc, SNAPSHOT_SCHEMA).alias("_d"))
 
-    def field(path: str, kind: str) -> Column:
-        return F.coalesce(F.try_variant_get("_v", f"$.{path}.value", kind), F.try_variant_get("_v", f"$.{path}", kind))
+    def field(path: str) -> Column:
+        c = F.col(f"_d.{path}")
+        return F.when(F.startswith(c, F.lit("{")), F.get_json_object(c, "$.value")).otherwise(c)
 
-    bare = lambda path, kind: F.try_variant_get("_v", f"$.{path}", kind)
-    # a wrapped value that is null must not fall back to its wrapper, and a struct is no string
-    colour = F.coalesce(
-        F.try_variant_get("_v", "$.colour.value", "string"),
-        F.when(~F.startswith(F.coalesce(bare("colour", "string"), F.lit("")), F.lit("{")), bare("colour", "string")),
-    )
-    return v.select(
+    return d.select(
         key,
-        bare("generated_at", "string").alias("generated_at"),
-        bare("basin", "string").alias("basin"),
-        F.coalesce(bare("degraded", "boolean"), F.lit(False)).alias("degraded"),
-        F.coalesce(bare("shipped", "string"), bare("model", "string")).alias("shipped"),
-        field("inputs.q_today_m3s", "double").alias("q_now_m3s"),
-        field("predictions.h1.q_m3s", "double").alias("predicted_h1_m3s"),
-        field("predictions.h1.p_exceed_threshold", "double").alias("p_exceed_h1"),
-        field("threshold_m3s", "double").alias("threshold_m3s"),
-        colour.alias("colour"),
-        bare("error", "string").alias("error"),
+        "_d.generated_at",
+        "_d.basin",
+        F.coalesce("_d.degraded", F.lit(False)).alias("degraded"),
+        F.coalesce("_d.shipped", "_d.model").alias("shipped"),
+        S.number_or_null(field("inputs.q_today_m3s")).alias("q_now_m3s"),
+        S.number_or_null(field("predictions.h1.q_m3s")).alias("predicted_h1_m3s"),
+        S.number_or_null(field("predictions.h1.p_exceed_threshold")).alias("p_exceed_h1"),
+        S.number_or_null(field("threshold_m3s")).alias("threshold_m3s"),
+        field("colour").alias("colour"),
+        "_d.error",
     )
