@@ -90,8 +90,13 @@ def gate(df: DataFrame, n: str, at_least: int, metrics: list[str]) -> DataFrame:
 
 
 def varied_corr(a: Column, b: Column) -> Column:
-    """Pearson r, null when either side is constant."""
-    return F.when((F.stddev_pop(a) > 0) & (F.stddev_pop(b) > 0), F.corr(a, b))
+    """Pearson r over rows with both values, null when either side is constant.
+
+    Built from moments: the engine's own ``corr`` raises on a constant side in ANSI mode.
+    """
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
+    return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def pair_columns(a: str, b: str, prefix: str = "") -> list[Column]:

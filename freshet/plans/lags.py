@@ -31,7 +31,7 @@ def cross_correlation(pairs: DataFrame) -> DataFrame:
     """Correlation of rain with discharge and its change per lag, for the season and the whole year."""
     scoped = pairs.withColumn("season", F.explode(F.when(A.in_season("d"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
     return scoped.groupBy("basin", "win", "season", "lag").agg(
-        F.corr("r", "q").alias("r_q"), F.corr("r", "dq").alias("r_dq"), F.count(F.lit(1)).alias("n")
+        A.varied_corr(F.col("r"), F.col("q")).alias("r_q"), A.varied_corr(F.col("r"), F.col("dq")).alias("r_dq"), F.count(F.lit(1)).alias("n")
     )
 
 

@@ -37,8 +37,9 @@ def fit_predict(feats: DataFrame, cols: list[str], h: int, train_before: int, pr
     Returns (basin, d, pred) with d the predicted day.
     """
     scale = fold_quantiles(feats, ["basin"], "d", "q", [train_before]).select("basin", F.col("thr").alias("_s"))
-    f = feats.dropna(subset=cols).join(scale, "basin")
-    f = f.withColumns({c: F.col(c) / F.col("_s") for c in cols if c in DISCHARGE or c.startswith("dam")}).withColumn("_y", F.col(f"y_h{h}") / F.col("_s"))
+    # a basin whose training q90 is 0 has no scale and is left out with the null rows
+    f = feats.dropna(subset=cols).join(scale.filter("_s > 0"), "basin")
+    f = f.withColumns({c: A.ratio(F.col(c), F.col("_s")) for c in cols if c in DISCHARGE or c.startswith("dam")}).withColumn("_y", A.ratio(F.col(f"y_h{h}"), F.col("_s")))
     train = f.filter((F.year("d") < train_before) & F.col("_y").isNotNull())
     stages = [
         OneHotEncoder(inputCols=["basin"], outputCols=["_basin"], handleInvalid="keep"),

@@ -29,10 +29,12 @@ def daily_rows(docs: DataFrame, keys: list[str], doc: str, today: Column) -> Dat
     """As ``hourly_rows`` for daily discharge, with the ensemble as a struct when any member is there."""
     d = docs.select(*keys, F.from_json(doc, DAILY_SCHEMA).alias("_d"))
     parts = ("min", "median", "mean", "max")
+    # a series the document does not carry counts as one without values
+    held = lambda c: F.coalesce(F.col(f"_d.daily.{c}"), F.array().cast("array<double>"))
     zipped = F.arrays_zip(
         F.col("_d.daily.time").alias("t"),
-        F.col("_d.daily.river_discharge").alias("q"),
-        *[F.col(f"_d.daily.river_discharge_{p}").alias(f"e_{p}") for p in parts],
+        held("river_discharge").alias("q"),
+        *[held(f"river_discharge_{p}").alias(f"e_{p}") for p in parts],
     )
     rows = d.select(*keys, F.inline(zipped)).filter("q IS NOT NULL")
     members = [F.col(f"e_{p}").alias(p) for p in parts]
