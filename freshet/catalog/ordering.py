@@ -25,7 +25,10 @@ def _(t):
 def _(t):
     r = F.coalesce(F.when(F.col("id") % 10 != 0, F.col("level")), F.lit(0.0))
     df = t.v5v.withColumn("r", r)
-    ranked = O.bucketed_rank(df, ["district"], F.floor(-F.col("r") / 500), [F.col("r").desc(), F.col("name")])
+    # rows without a score all tie at 0 and may be many: within that tie the name goes on splitting
+    tie = F.col("r") == 0
+    bucket = F.struct(F.floor(-F.col("r") / 500).alias("a"), (~tie).alias("b"), F.when(tie, F.left("name", F.lit(14))).otherwise("").alias("c"))
+    ranked = O.bucketed_rank(df, ["district"], bucket, [F.col("r").desc(), F.col("name")])
     return ranked.select("id", "district", "rank").orderBy("district", "rank")
 
 

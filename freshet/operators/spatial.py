@@ -16,19 +16,19 @@ from freshet.functions import geometry as G
 from freshet.session import cut_lineage
 
 # degrees per cell; every size divides 360 so that longitude cells close around the globe
-LEVELS = (0.01, 0.05, 0.25, 1.0, 4.0, 20.0)
+LEVELS = (0.01, 0.05, 0.2, 0.5, 1.0, 2.0, 4.0, 20.0)
 PREFIX_TIER = 1_000_000
 
 
 def _first_level(points: DataFrame, lat: str, lon: str, keys: list[str], k: int, levels: list[float]) -> int:
-    """Index of the level to begin with: a cell of about k + 2 points where the points are dense.
+    """Index of the level to begin with: a cell of a few times k points where the points are dense.
 
     The mean count of a point's own one-degree cell weighs clusters by their points, so one
     crowded cell sets a fine start and never meets itself whole.
     """
     n = points.groupBy(*keys, G.cell_key(F.col(lat), 1.0), G.cell_key(F.col(lon), 1.0)).agg(F.count(F.lit(1)).alias("n"))
     local = n.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0]
-    side = math.sqrt((k + 2) / local) if local else levels[-1]
+    side = math.sqrt(3 * (k + 2) / local) if local else levels[-1]
     return next((i for i, s in enumerate(levels) if s >= side), len(levels) - 1)
 
 
@@ -122,11 +122,15 @@ def nearest_k(
 
 
 def idw(left: DataFrame, lid: str, neighbours: DataFrame, signals: DataFrame, pid: str, values: list[str]) -> DataFrame:
-    """Inverse-distance weighted signals (1 / max(km, 1)) of each place's neighbours."""
+    """Inverse-distance weighted signals (1 / max(km, 1)) of each place's neighbours.
+
+    Weighted once per distinct spot; the places themselves only take part in the last join.
+    """
     w = F.lit(1.0) / F.greatest(F.col("km"), F.lit(1.0))
-    j = left.select(lid, "lat", "lon").join(neighbours, ["lat", "lon"]).join(signals, pid).withColumn("_w", w)
+    j = neighbours.join(signals, pid).withColumn("_w", w)
     sums = [(F.sum(F.col("_w") * F.col(v)) / F.sum(F.when(F.col(v).isNotNull(), F.col("_w")))).alias(v) for v in values]
-    return j.groupBy(lid).agg(*sums)
+    spots = j.groupBy("lat", "lon").agg(*sums)
+    return left.select(lid, "lat", "lon").join(spots, ["lat", "lon"]).select(lid, *values)
 
 
 def inside_polygons(points: DataFrame, polygons: DataFrame, pid: str, poly: str, cell: float = 0.5) -> DataFrame:

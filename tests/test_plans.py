@@ -46,5 +46,6 @@ def test_filters_reach_the_scan(spark):
 def test_top_rows_are_limited_before_the_shuffle(spark):
     from freshet.operators.windows import separated_top
 
-    df = spark.range(10).selectExpr("id % 2 AS k", "date_add(date'2020-01-01', cast(id as int)) AS d", "cast(id AS double) AS rise")
+    # more rows than the limit, else the optimiser leaves it out
+    df = spark.range(1000).selectExpr("id % 2 AS k", "date_add(date'2020-01-01', cast(id as int)) AS d", "cast(id AS double) AS rise")
     assert plan_of(separated_top(df, "k", "d", "rise")).count("WindowGroupLimit") >= 2
