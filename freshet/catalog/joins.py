@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 from freshet.catalog.registry import entry
 from freshet.catalog.scalars import hav
 from freshet.functions import geometry as G
-from freshet.functions import scalars as S
-from freshet.operators import aggregates as A
 from freshet.operators import joins as J
 from freshet.operators import spatial as P
 from freshet.operators.chunks import chunk_width

@@ -6,7 +6,6 @@ from freshet.catalog.aggregates import SLOPES_SQL, THR_SQL
 from freshet.catalog.joins import FRAME_NUM, daily_frame, stored_frame
 from freshet.catalog.registry import entry
 from freshet.catalog.screens import VAL_YEARS
-from freshet.operators import aggregates as A
 from freshet.operators import joins as J
 from freshet.operators import windows as Wn
 from freshet.plans import baselines as B

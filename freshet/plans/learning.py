@@ -1,8 +1,8 @@
 """Learned candidates: boosted trees over all basins, walk-forward, and what their inputs add.
 
 One distributed fit per (fold, horizon) serves every basin: the basin goes in one-hot and
-discharge columns are scaled by the basin's own training q90. ``per_basin`` of the feature frame
-is a filter away when a fit per basin is wanted.
+discharge columns are scaled by the basin's own training q90. For a fit per basin, pass the
+features of that basin alone.
 """
 
 from __future__ import annotations
@@ -30,11 +30,11 @@ def learner(kind: str, **params):
     return RandomForestRegressor(featuresCol="features", labelCol="_y", seed=0, **{"numTrees": 20, "maxDepth": 6, **params})
 
 
-def fit_predict(feats: DataFrame, cols: list[str], h: int, train_before: int, predict_year: int, kind: str, **params) -> DataFrame:
+def fit_predict(feats: DataFrame, cols: list[str], h: int, train_before: int, predict_year: int, kind: str, save_to: str | None = None, **params) -> DataFrame:
     """Fit on rows of years before ``train_before``, predict the days of ``predict_year``.
 
     Rows with a null feature are dropped. The prediction made at d is for calendar day d + h.
-    Returns (basin, d, pred) with d the predicted day.
+    Returns (basin, d, pred) with d the predicted day; ``save_to`` keeps the fitted pipeline.
     """
     scale = fold_quantiles(feats, ["basin"], "d", "q", [train_before]).select("basin", F.col("thr").alias("_s"))
     # a basin whose training q90 is 0 has no scale and is left out with the null rows
@@ -47,6 +47,8 @@ def fit_predict(feats: DataFrame, cols: list[str], h: int, train_before: int, pr
         learner(kind, **params),
     ]
     model = Pipeline(stages=stages).fit(train)
+    if save_to:
+        model.write().overwrite().save(save_to)
     ask = f.withColumn("_for", F.date_add("d", h)).filter(F.year("_for") == predict_year)
     out = model.transform(ask)
     return out.select("basin", F.col("_for").alias("d"), (F.col("prediction") * F.col("_s")).alias("pred"))

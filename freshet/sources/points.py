@@ -55,6 +55,8 @@ def read_telemetry(spark: SparkSession, path: str, station: str = "Station", tim
     return out.filter(F.col("t").isNotNull() & F.col("value").isNotNull())
 
 
+# fixed values: the numeric columns of a station table
+MARK_NUMBERS = ("Latitude", "Longitude", "WarningLevel", "DangerLevel", "HFL", "WIMS_Value")
 # splits a CSV line outside double quotes
 CSV_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -66,8 +68,7 @@ def read_station_marks(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.text(path).select(cells.alias("cells")).filter(F.size("cells") >= len(names))
     at = {n: F.trim(F.regexp_replace(F.get("cells", F.lit(i)), '^"|"$', "")) for i, n in enumerate(names)}
     rows = rows.filter(at[names[0]] != names[0])
-    numbers = ("Latitude", "Longitude", "WarningLevel", "DangerLevel", "HFL", "WIMS_Value")
-    return rows.select(*[(S.number_or_null(c) if n in numbers else c).alias(n) for n, c in at.items()])
+    return rows.select(*[(S.number_or_null(c) if n in MARK_NUMBERS else c).alias(n) for n, c in at.items()])
 
 
 def split_observed_forecast(wide: DataFrame, time: str, observed: str, issued: str) -> tuple[DataFrame, DataFrame]:

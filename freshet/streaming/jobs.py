@@ -118,11 +118,11 @@ def carry_forward(estimates: DataFrame) -> DataFrame:
     return estimates.groupBy("village").applyInPandasWithState(_carry, CARRY_OUTPUT, CARRY_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def alert_archive(alerts: DataFrame, key: str, order: list[str], root: str | None = None) -> str:
+def alert_archive(alerts: DataFrame, key: str, order: list[str], root: str | None = None, checkpoint: str | None = None) -> str:
     """Merge each batch of alerts into an immutable archive; returns the folder of the last snapshot.
 
     A batch reads the snapshot before it and writes its own, so a repeated batch gives the same
-    result.
+    result. Pass ``root`` and ``checkpoint`` again to go on from an earlier run.
     """
     spark = alerts.sparkSession
     root = root or fresh_path(spark, "alerts")
@@ -137,7 +137,7 @@ def alert_archive(alerts: DataFrame, key: str, order: list[str], root: str | Non
         new.write.mode("overwrite").parquet(f"{root}/{batch_id}")
         last.append(batch_id)
 
-    drain_batches(alerts, "alerts", merge)
+    drain_batches(alerts, "alerts", merge, checkpoint)
     return f"{root}/{max(last)}" if last else root
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from freshet.session import fresh_path
 
@@ -47,7 +48,11 @@ def drain(stream: DataFrame, name: str, sink: str | None = None, checkpoint: str
         .start()
     )
     _finish(q, timeout)
-    return spark.read.schema(stream.schema).parquet(sink)
+    try:
+        return spark.read.schema(stream.schema).parquet(sink)
+    except AnalysisException:
+        # nothing has arrived yet, so there is no sink
+        return spark.createDataFrame([], stream.schema)
 
 
 def drain_batches(stream: DataFrame, name: str, each: Callable[[DataFrame, int], None], checkpoint: str | None = None, timeout: int = 1800) -> None:
