@@ -44,38 +44,50 @@ def item_sketches(items: DataFrame, minima: int = MINIMA, containment: float = C
     return s.select("part", "item_id", F.explode("m").alias("h"))
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", containment: float = CONTAINMENT) -> DataFrame:
-    """doc_id, item_id, n_shared, n_item, containment for every document row that holds an item.
+def leaks_by_text(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", containment: float = CONTAINMENT) -> DataFrame:
+    """k1, k2 (the text), item_id, n_shared, n_item for each distinct text that holds an item.
 
     Words are runs of letters and digits in lower case. Items and documents with fewer than five words have no
-    shingle and never match; null texts count as empty. Work is done once per distinct text; every
-    row with that text gets the result, null ids included, and rows repeated in ``docs`` repeat. Items with equal ids and texts count once.
+    shingle and never match; null texts count as empty. Items that share an id and a text count once; of different texts under one id the best counts.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), _words(whole_text(item_text)).alias("words")).distinct()
     items = cut_lineage(items.select("item_id", word_ngrams("words", SHINGLE).alias("hashes"), _shingle_texts("words").alias("item_shingles")))
     sketches = cut_lineage(item_sketches(items, containment=containment))
-    keyed = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text")).withColumns(text_key(F.col("text")))
+    keyed = docs.select(whole_text(text).alias("text")).withColumns(text_key(F.col("text")))
 
     # the array is built inside explode: as a column of its own, a filter on its size would be pushed below the split
     worded = keyed.select("k1", "k2", _words(F.col("text")).alias("words"))
     rolled = worded.select("k1", "k2", _partition(F.size("words") - (SHINGLE - 1)).alias("part"), F.explode(word_ngrams("words", SHINGLE)).alias("h"))
     found = cut_lineage(rolled.join(broadcast_within(sketches), ["part", "h"]).select("k1", "k2", "item_id").distinct())
 
-    held = found.select("k1", "k2").distinct()
+    held = cut_lineage(found.select("k1", "k2").distinct())
     texts = keyed.select("k1", "k2", "text").join(broadcast_within(held), ["k1", "k2"], "leftsemi").dropDuplicates(["k1", "k2"])
     shingled = texts.select("k1", "k2", _words(F.col("text")).alias("words")).select("k1", "k2", _shingle_texts("words").alias("doc_shingles"))
-    pairs = shingled.join(found, ["k1", "k2"]).join(items.select("item_id", "item_shingles"), "item_id")
+    same_item = F.col("found.item_id").eqNullSafe(F.col("items.item_id"))
+    pairs = shingled.join(found, ["k1", "k2"]).alias("found").join(items.select("item_id", "item_shingles").alias("items"), same_item).select("k1", "k2", "found.item_id", "item_shingles", "doc_shingles")
     n, q = F.size(F.array_intersect("item_shingles", "doc_shingles")).cast("long"), F.size("item_shingles").cast("long")
     sure = pairs.select("k1", "k2", "item_id", n.alias("n_shared"), q.alias("n_item")).where(F.col("n_shared") >= F.lit(containment) * F.col("n_item"))
-    sure = cut_lineage(sure.groupBy("k1", "k2", "item_id").agg(F.max_by(F.struct("n_shared", "n_item"), F.col("n_shared") / F.col("n_item")).alias("m")).select("k1", "k2", "item_id", "m.*"))
+    best = F.max_by(F.struct("n_shared", "n_item"), F.struct(F.col("n_shared") / F.col("n_item"), "n_item")).alias("m")
+    return cut_lineage(sure.groupBy("k1", "k2", "item_id").agg(best).select("k1", "k2", "item_id", "m.*"))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """doc_id, item_id, n_shared, n_item, containment for every document row that holds an item.
+
+    Work is done once per distinct text; every row with that text gets the result, null ids included, and
+    rows repeated in ``docs`` repeat. Empty tables give no rows.
+    """
+    sure = leaks_by_text(docs, benchmark, text, **how)
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text")).withColumns(text_key(F.col("text")))
     rows = keyed.select("doc_id", "k1", "k2").join(broadcast_within(sure), ["k1", "k2"])
     return rows.select("doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
-def without_leaks(docs: DataFrame, leaks: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The documents of ``docs`` that hold no item; rows with a null id stay unless their id leaked as null."""
-    bad = leaks.select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(broadcast_within(cut_lineage(bad)), docs[doc_id].eqNullSafe(F.col("__leaked")), "leftanti")
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose text holds no item."""
+    bad = cut_lineage(leaks_by_text(docs, benchmark, text, **how).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct())
+    key = text_key(whole_text(text))
+    return docs.join(broadcast_within(bad), (key["k1"] == F.col("__k1")) & (key["k2"] == F.col("__k2")), "leftanti")
 
 
 SQL = r"""

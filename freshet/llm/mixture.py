@@ -74,15 +74,27 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     The hash is md5 of the id as text: reruns agree, rows with equal ids go together, null ids count as
     empty text, null sources are one source, null texts have size 0, an empty table gives no rows.
     """
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(whole_text(text)).alias("size"),
-        F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")).alias("h"),
-    )
-    rows = cut_lineage(rows)
-    picked = _picked(rows, **rule)
-    copies = F.when(F.col("size") == 0, 0).otherwise(F.col("whole") + (F.col("more") & (F.col("h") <= F.coalesce("upper", F.lit("")))).cast("long"))
-    out = _by_source(rows, picked).withColumn("copies", copies)
-    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    rows = cut_lineage(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(whole_text(text)).alias("size"), _hash(doc_id).alias("h")))
+    return _taken(rows, _picked(rows, **rule)).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **rule) -> DataFrame:
+    """The documents that ``mix`` takes, with the columns of ``docs`` and size, source_size, target, taken, copies (which replace columns of these names)."""
+    made = ["size", "source_size", "target", "taken", "copies"]
+    rows = cut_lineage(docs.select(F.col(source).alias("source"), word_count(whole_text(text)).alias("size"), _hash(doc_id).alias("h")))
+    d = docs.drop(*made, "h", "whole", "more", "upper").withColumns({"size": word_count(whole_text(text)), "h": _hash(doc_id)})
+    taken = _taken(d.withColumn("source", F.col(source)), _picked(rows, **rule))
+    return taken.where("copies > 0").drop("h", "whole", "more", "upper")
+
+
+def _hash(doc_id: str) -> Column:
+    return F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+
+
+def _taken(rows: DataFrame, picked: DataFrame) -> DataFrame:
+    once_more = F.col("more") & (F.col("h") <= F.coalesce("upper", F.lit("")))
+    copies = F.when(F.col("size") == 0, 0).otherwise(F.col("whole") + once_more.cast("long"))
+    return _by_source(rows, picked).withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def _picked(rows: DataFrame, **rule) -> DataFrame:

@@ -100,3 +100,14 @@ def apply_rules(docs: DataFrame, ratios: list[float], text: str = "text", thresh
     d = d.withColumn(name, r.withField("base_failed", failed)).withColumn(name, r.withField("kept", ~r["base_failed"] & (r["score"] >= threshold)))
     return d.drop("__words", "__win", "__lines", "__sorted", "__at", "__grams")
 
+
+
+def accepted(docs: DataFrame, ratios: list[float], text: str = "text", **rules) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with their columns.
+
+    Kept rows make one row each in an explode. A filter would be pushed below the columns it is made of
+    and would split the text anew for every word.
+    """
+    once = F.when(F.col("__rules.kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    d = apply_rules(docs, ratios, text, name="__rules", **rules)
+    return d.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(once).alias("__one")).drop("__one")
