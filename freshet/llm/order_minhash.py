@@ -165,7 +165,9 @@ def _candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
     large = inside.where(F.col("n") > SMALL)
     weight = large.groupBy("k").agg(F.sum("n").alias("weight"))
     centres = large.join(weight, "k").groupBy("b").agg(F.max_by("k", F.struct("weight", "k")).alias("hub"), F.min("k").alias("low"))
-    starred = large.join(centres, "b").select("k", F.explode(F.array("hub", "low")).alias("o")).where("k <> o")
+    # most buckets of one text have the same centre: gather the different ones before they become rows
+    others = large.join(centres, "b").groupBy("k").agg(F.array_union(F.collect_set("hub"), F.collect_set("low")).alias("o"))
+    starred = others.select("k", F.explode("o").alias("o")).where("k <> o")
     return cut_lineage(pairs.union(starred.select(F.least("k", "o").alias("a"), F.greatest("k", "o").alias("b"))).distinct()), inside
 
 
