@@ -33,7 +33,7 @@ def features(texts: list[str], metadata: np.ndarray | None = None) -> tuple[np.n
     """(row, input number, value) of each non-zero input; rows come in order.
 
     Words: bucket of the lower-case word's hash, 1 + log of its count, scaled to length one. Statistics: in 0..1, each
-    as five overlapping steps so that a weight can fit a curve; then one constant step.
+    as five steps so that weights can fit a curve.
     """
     n = len(texts)
     sums = {k: np.zeros(n) for k in ("chars", "words", "word_bytes", *_KINDS)}
@@ -64,7 +64,7 @@ def features(texts: list[str], metadata: np.ndarray | None = None) -> tuple[np.n
     if metadata is not None:
         s = np.concatenate([s, metadata], axis=1)
     s = np.nan_to_num(np.clip(s, 0, 1))
-    steps = np.clip(s[:, :, None] * 5 - np.arange(5), 0, 1).reshape(n, -1)
+    steps = np.clip(s[:, :, None] * 5 - np.arange(5), 0, 1).reshape(n, 5 * s.shape[1])
     r, c = np.nonzero(steps)
     row, inputs, value = np.concatenate([row, r]), np.concatenate([keys % BUCKETS, BUCKETS + c]), np.concatenate([value, steps[r, c]])
     order = np.argsort(row, kind="stable")

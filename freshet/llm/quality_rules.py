@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from freshet.llm.common import split_words, whole_text, word_ngrams
 
 BUCKETS = 1 << 14
+#: Pseudo-counts per bucket of the trusted multinomial, spread as the raw corpus is.
 SMOOTHING = 1.0
 #: Mean log ratio (nats per n-gram) below which a document goes.
 THRESHOLD = -0.35
@@ -50,9 +51,12 @@ def fit(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str =
     n_good, n_raw = sum(r.good for r in sums), sum(r.raw for r in sums)
     out = [0.0] * buckets
     if n_good:
-        out = [math.log(n_raw + smoothing * buckets) - math.log(n_good + smoothing * buckets)] * buckets
+        # trusted counts are drawn towards the raw shares, so that little trusted text decides little
+        prior = smoothing * buckets
+        out = [math.log(prior / (n_good + prior))] * buckets
         for r in sums:
-            out[r.b] += math.log(r.good + smoothing) - math.log(r.raw + smoothing)
+            share = r.raw / n_raw
+            out[r.b] = math.log((r.good + prior * share) / ((n_good + prior) * share))
     return out
 
 
