@@ -105,14 +105,14 @@ def _(t):
 def _(t):
     f = stored_frame(t)
     feats = Fr.feature_frame(f)
-    preds = Ln.walk_forward(feats, [2000, 2001], (1,), "gbt", maxIter=4, maxDepth=3)
-    return B.season_scores(preds, B.fold_quantiles(f, ["basin"], "d", "q", [2000, 2001]))
+    preds = Ln.walk_forward(feats, VAL_YEARS)
+    return B.season_scores(preds, B.fold_quantiles(f, ["basin"], "d", "q", VAL_YEARS))
 
 
 @entry("candidate_selection", num="mae")
 def _(t):
     feats = Fr.feature_frame(stored_frame(t))
-    return Ln.select_candidate(feats, 1999, {"gbt": {"maxIter": 4, "maxDepth": 3}, "forest": {"numTrees": 6, "maxDepth": 4}})
+    return Ln.select_candidate(feats, 1999, {"gbt": {}, "forest": {}})
 
 
 @entry(
@@ -207,7 +207,7 @@ def _(t):
     dam = Wn.row_lags(t.v2.filter("day(d) % 4 <> 0").select(((F.col("site") + 2) % 4).alias("basin"), "d", "q"), "basin", "d", "q", "dam")
     extra = ["dam", "dam_lag1", "dam_chg"]
     feats = feats.join(dam.select("basin", "d", *extra), ["basin", "d"], "left")
-    return Ln.ablation(feats, extra, [2000], "gbt", maxIter=4, maxDepth=3)
+    return Ln.ablation(feats, extra, VAL_YEARS)
 
 
 MARKS_SQL = "(SELECT site, CASE WHEN site <> 3 THEN 180.0 END AS thr FROM (SELECT DISTINCT site FROM v2))"
@@ -276,7 +276,7 @@ def _(t):
 
 @entry(
     "metric_registry",
-    f"""WITH {THR_SQL}, h AS (SELECT site, count(*) || '-' || sum(('0x' || substr(md5(site || '|' || d || '|' || CAST(q AS BIGINT)), 1, 15))::BIGINT::HUGEINT) AS data_hash FROM v2 GROUP BY 1)
+    f"""WITH {THR_SQL}, h AS (SELECT site, count(*) || '-' || sum(('0x' || substr(md5('{{"site":"' || site || '","d":"' || d || '","q":"' || CAST(q AS BIGINT) || '"}}'), 1, 15))::BIGINT::HUGEINT) AS data_hash FROM v2 GROUP BY 1)
         SELECT site, val_year, data_hash FROM thr JOIN h USING (site)""",
 )
 def _(t):

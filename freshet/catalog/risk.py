@@ -88,7 +88,7 @@ REPLAY_DAY = "2001-06-01"
 
 def replay(t):
     v1 = t.stored("v1")
-    steps = v1.groupBy("point_id").agg(F.max("h").alias("hi")).select("point_id", F.expr("explode(sequence(24L, hi, 24L))").alias("h"))
+    steps = v1.groupBy("point_id").agg(F.max("h").alias("hi")).select("point_id", F.expr("explode(sequence(24L, hi, 6L))").alias("h"))
     sums = Wn.trailing_window_at(v1, steps, "point_id", "h", "mm")
     sums = t.v5p.select("pid", (F.col("pid") % 8).alias("point_id")).join(sums, "point_id").select(
         "pid", F.col("h").alias("step"), (F.col("sum_24h") / 40).alias("sum_24h"), (F.col("sum_48h") / 40).alias("sum_48h")
@@ -104,7 +104,7 @@ def replay(t):
 @entry(
     "replay_classification",
     f"""WITH {RIVER_SQL}, pctl AS (SELECT site, d, share FROM ({RANK_SQL} SELECT * FROM pctl)),
-        st AS (SELECT point_id, unnest(range(24, hi + 1, 24)) AS h FROM (SELECT point_id, max(h) AS hi FROM v1 GROUP BY 1)),
+        st AS (SELECT point_id, unnest(range(24, hi + 1, 6)) AS h FROM (SELECT point_id, max(h) AS hi FROM v1 GROUP BY 1)),
         su AS (SELECT st.point_id, st.h AS step, COALESCE(sum(CASE WHEN v1.h > st.h - 24 THEN mm END), 0) / 40 AS a, COALESCE(sum(mm), 0) / 40 AS b FROM st LEFT JOIN v1 ON v1.point_id = st.point_id AND v1.h > st.h - 48 AND v1.h <= st.h GROUP BY 1, 2),
         wet AS (SELECT id, step, sum(a / greatest(km, 1)) / sum(1 / greatest(km, 1)) AS rain24, sum(b / greatest(km, 1)) / sum(1 / greatest(km, 1)) AS rain48 FROM near_rp JOIN su ON su.point_id = pid % 8 GROUP BY 1, 2)
         SELECT wet.id, step, rain24, rain48, share, CASE WHEN t >= 3 THEN 'RED' WHEN t = 2 THEN 'YELLOW' ELSE 'GREEN' END AS risk FROM wet JOIN near_rv USING (id)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from functools import cache
@@ -17,7 +18,7 @@ RAIN_RED_24, RAIN_RED_48 = 60.0, 100.0
 DISCHARGE_YELLOW, DISCHARGE_RED = 0.70, 0.90
 P_YELLOW, P_RED = 0.2, 0.5
 TREND_PCT = 5.0
-STATION_TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "dd/MM/yy HH:mm")
+STATION_TIME_FORMATS = ("yyyy-M-d H:mm:ss", "yyyy-M-d H:mm", "d/M/yy H:mm")
 LOCAL_OFFSET_MINUTES = 330
 
 
@@ -35,13 +36,20 @@ def local_to_utc(ts: Column, offset_minutes: int = LOCAL_OFFSET_MINUTES) -> Colu
 
 def parse_station_time(s: Column, formats=STATION_TIME_FORMATS, offset_minutes: int = LOCAL_OFFSET_MINUTES) -> Column:
     """First format that fits, then local time to UTC; null when none fits."""
-    tries = [F.try_to_timestamp(F.trim(s), F.lit(f)).cast("timestamp_ntz") for f in formats]
+    tries = []
+    for f in formats:
+        t = F.try_to_timestamp(F.trim(s), F.lit(f)).cast("timestamp_ntz")
+        # two-digit years from 69 on are in the last century
+        tries.append(F.when(F.year(t) >= 2069, t - F.expr("INTERVAL '100' YEAR")).otherwise(t) if re.search(r"(?<!y)yy(?!y)", f) else t)
     return local_to_utc(F.coalesce(*tries), offset_minutes)
 
 
+# a plain decimal number; casts alone would also take type suffixes
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def number_or_null(s: Column) -> Column:
-    v = s.try_cast("double")
-    return F.when(~F.isnan(v), v)
+    return F.when(s.cast("string").rlike(NUMBER), s.try_cast("double"))
 
 
 def key_of(s: Column, lower: bool = False, limit: int | None = None, default: str | None = None) -> Column:
@@ -58,26 +66,38 @@ def key_of(s: Column, lower: bool = False, limit: int | None = None, default: st
 
 
 @cache
-def _accent_table() -> tuple[str, str]:
-    """Every precomposed BMP letter whose canonical decomposition is one base plus marks."""
-    src, dst = [], []
-    for cp in range(0xA0, min(sys.maxunicode, 0xFFFF)):
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """For ``translate``: letters that fold to one letter, then marks that go; and letters that fold to several.
+
+    Folding is canonical decomposition, combining marks dropped, case folded. Hangul syllables stay whole.
+    """
+    one, gone, many = {}, [], {}
+    for cp in range(0x41, sys.maxunicode + 1):
         if 0xAC00 <= cp <= 0xD7A3 or 0xD800 <= cp <= 0xDFFF:
             continue
-        flat = "".join(c for c in unicodedata.normalize("NFD", chr(cp)) if not unicodedata.combining(c))
-        if len(flat) == 1 and flat != chr(cp):
-            src.append(chr(cp))
-            dst.append(flat)
-    return "".join(src), "".join(dst)
+        c = chr(cp)
+        flat = "".join(x for x in unicodedata.normalize("NFD", c) if not unicodedata.combining(x)).casefold()
+        if not flat:
+            gone.append(c)
+        elif len(flat) > 1:
+            many[c] = flat
+        elif flat != c:
+            one[c] = flat
+    return "".join([*one, *gone]), "".join(one.values()), many
+
+
+# white space as Unicode has it
+BLANKS = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
 def fold_text(s: Column) -> Column:
-    """Diacritics dropped, case folded, trimmed; JVM-side for whole texts."""
-    src, dst = _accent_table()
-    t = F.translate(s, src, dst)
-    t = F.regexp_replace(t, r"\p{Mn}", "")
-    t = F.replace(F.lower(t), F.lit("ß"), F.lit("ss"))
-    return F.regexp_replace(t, r"^\s+|\s+$", "")
+    """Diacritics dropped, case folded, trimmed; JVM-side for whole texts. Vowel signs of Indic scripts stay."""
+    src, dst, many = _fold_tables()
+    long = s
+    for c, flat in many.items():
+        long = F.replace(long, F.lit(c), F.lit(flat))
+    t = F.when(s.rlike("[" + "".join(many) + "]"), long).otherwise(s)
+    return F.regexp_replace(F.translate(t, src, dst), f"^{BLANKS}|{BLANKS}$", "")
 
 
 def cyclic_day_distance(a: Column, b: Column) -> Column:

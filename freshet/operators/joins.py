@@ -135,7 +135,8 @@ def manifest_diff(old: DataFrame, new: DataFrame, key: list[str], digest: str) -
 
 def content_hash(df: DataFrame, keys: list[str], columns: list[str], out: str = "digest") -> DataFrame:
     """Order-free digest of each group's rows: hashes of rows are summed, never gathered."""
-    row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    # as JSON with nulls kept, different rows never give one text
+    row = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"})
     # 15 hex digits fit a bigint; summed as decimals the total cannot overflow
     part = F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(20,0)")
     return df.groupBy(*keys).agg(F.concat_ws("-", F.count(F.lit(1)).cast("string"), F.sum(part).cast("string")).alias(out))

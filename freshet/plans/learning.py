@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -39,10 +39,11 @@ def fit_predict(feats: DataFrame, cols: list[str], h: int, train_before: int, pr
     scale = fold_quantiles(feats, ["basin"], "d", "q", [train_before]).select("basin", F.col("thr").alias("_s"))
     # a basin whose training q90 is 0 has no scale and is left out with the null rows
     f = feats.dropna(subset=cols).join(scale.filter("_s > 0"), "basin")
-    f = f.withColumns({c: A.ratio(F.col(c), F.col("_s")) for c in cols if c in DISCHARGE or c.startswith("dam")}).withColumn("_y", A.ratio(F.col(f"y_h{h}"), F.col("_s")))
+    f = f.withColumns({c: A.ratio(F.col(c), F.col("_s")) for c in cols if c in DISCHARGE or c.startswith("dam")}).withColumns({"_y": A.ratio(F.col(f"y_h{h}"), F.col("_s")), "_name": F.col("basin").cast("string")})
     train = f.filter((F.year("d") < train_before) & F.col("_y").isNotNull())
     stages = [
-        OneHotEncoder(inputCols=["basin"], outputCols=["_basin"], handleInvalid="keep"),
+        StringIndexer(inputCol="_name", outputCol="_at", handleInvalid="keep"),
+        OneHotEncoder(inputCols=["_at"], outputCols=["_basin"], handleInvalid="keep"),
         VectorAssembler(inputCols=[*cols, "_basin"], outputCol="features"),
         learner(kind, **params),
     ]

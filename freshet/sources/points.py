@@ -13,8 +13,8 @@ from freshet.functions import scalars as S
 
 
 def write_partitioned(df: DataFrame, path: str, part: str) -> str:
-    """One table partitioned by time part; all points share its files."""
-    df.repartition(part).write.partitionBy(part).mode("errorifexists").parquet(path)
+    """One table partitioned by time part; all points share its files, and a large part gets several."""
+    df.hint("rebalance", F.col(part)).write.partitionBy(part).mode("errorifexists").parquet(path)
     return path
 
 
@@ -27,7 +27,7 @@ def scan_points(
 
 
 def union_parts(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """Parts side by side by column name; parts that are missing or unreadable are left out."""
+    """Parts side by side by column name; parts that are missing or unreadable are left out (``skipped_parts`` tells which)."""
     found = []
     for p in paths:
         try:
@@ -40,25 +40,49 @@ def union_parts(spark: SparkSession, paths: list[str], schema: T.StructType) ->
     return df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def skipped_parts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The parts that ``union_parts`` leaves out, with the reason: path, reason."""
+    out = []
+    for p in paths:
+        try:
+            spark.read.parquet(p)
+        except AnalysisException as err:
+            out.append((p, err.getCondition() or str(err)[:200]))
+    return spark.createDataFrame(out, "path string, reason string")
+
+
+# splits a CSV line outside double quotes
+CSV_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _csv_cells(line: Column) -> Column:
+    return F.transform(F.split(line, CSV_COMMA), lambda c: F.trim(F.regexp_replace(c, '^"|"$', "")))
+
+
 def read_telemetry(spark: SparkSession, path: str, station: str = "Station", time: str = "Data Acquisition Time") -> DataFrame:
-    """One dataset of telemetry files as (station, t, value); the last column holds the value.
+    """Telemetry files of any layout as (station, t, value); the last column of a file's own header holds the value.
 
-    Rows with an unreadable time or no value are dropped.
+    Columns are found by the header line of each file, so layouts may differ within a folder. Rows with an
+    unreadable time or no value are dropped.
     """
-    raw = spark.read.option("header", "true").csv(path)
-    value = raw.columns[-1]
-    out = raw.select(
-        F.col(f"`{station}`").alias("station"),
-        F.try_to_timestamp(F.col(f"`{time}`"), F.lit("dd-MM-yyyy HH:mm")).cast("timestamp_ntz").alias("t"),
-        S.number_or_null(F.col(f"`{value}`")).alias("value"),
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), _csv_cells(F.col("value")).alias("cells"))
+    is_head = F.array_contains("cells", station) & F.array_contains("cells", time)
+    heads = lines.filter(is_head).groupBy("file").agg(F.first("cells").alias("head"))
+    rows = lines.filter(~is_head).join(heads, "file")
+
+    def cell(name: str) -> Column:
+        return F.get("cells", F.array_position("head", F.lit(name)).cast("int") - 1)
+
+    out = rows.select(
+        F.nullif(cell(station), F.lit("")).alias("station"),
+        F.try_to_timestamp(cell(time), F.lit("d-M-yyyy H:mm")).cast("timestamp_ntz").alias("t"),
+        S.number_or_null(F.get("cells", F.size("head") - 1)).alias("value"),
     )
     return out.filter(F.col("t").isNotNull() & F.col("value").isNotNull())
 
 
 # fixed values: the numeric columns of a station table
 MARK_NUMBERS = ("Latitude", "Longitude", "WarningLevel", "DangerLevel", "HFL", "WIMS_Value")
-# splits a CSV line outside double quotes
-CSV_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def read_station_marks(spark: SparkSession, path: str) -> DataFrame:

@@ -31,10 +31,11 @@ def land(df: DataFrame, name: str) -> str:
     return path
 
 
-def drain(stream: DataFrame, name: str, sink: str | None = None, checkpoint: str | None = None, timeout: int = 1800) -> DataFrame:
+def drain(stream: DataFrame, name: str, sink: str | None = None, checkpoint: str | None = None, timeout: int | None = None) -> DataFrame:
     """Process everything available into a parquet sink and read it back.
 
-    Sink and checkpoint live in the shared folder; passing them again resumes the job.
+    Sink and checkpoint live in the shared folder; passing them again resumes the job. Without a
+    ``timeout`` (seconds) a run takes as long as its backlog.
     """
     spark = stream.sparkSession
     _use_rocksdb(spark)
@@ -55,7 +56,7 @@ def drain(stream: DataFrame, name: str, sink: str | None = None, checkpoint: str
         return spark.createDataFrame([], stream.schema)
 
 
-def drain_batches(stream: DataFrame, name: str, each: Callable[[DataFrame, int], None], checkpoint: str | None = None, timeout: int = 1800) -> None:
+def drain_batches(stream: DataFrame, name: str, each: Callable[[DataFrame, int], None], checkpoint: str | None = None, timeout: int | None = None) -> None:
     """Process everything available through ``each(batch, batch_id)``, which must be repeatable."""
     spark = stream.sparkSession
     _use_rocksdb(spark)
@@ -73,7 +74,9 @@ def _use_rocksdb(spark: SparkSession) -> None:
         spark.conf.set(STATE_PROVIDER, ROCKSDB)
 
 
-def _finish(query, timeout: int) -> None:
-    if not query.awaitTermination(timeout):
+def _finish(query, timeout: int | None) -> None:
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"streaming run did not finish in {timeout} s")
