@@ -7,8 +7,8 @@ key are candidates, and a banded alignment of their words settles them.
 
 Equal texts are one node. In a bucket (texts with one key) of up to ``SMALL`` texts all pairs are tried. In
 a larger one every text is tried against two others: the one that shares most keys with the rest, and
-the first. Texts that this leaves outside the class of their bucket's centre are dealt again, by pairs of keys,
-and tried in the same way. Work grows with the number of texts, and near copies of one original meet it.
+the first. Texts that this leaves outside the main class of the bucket are tried against members picked by chance, others in each of
+their buckets, and are dealt again among themselves by pairs of keys. Work grows with the number of texts, and near copies of one original meet it.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ SHINGLE, SKETCHES, PICKED = 5, 20, 2
 #: Least share of equal words in an alignment: 1 - edit distance / longer length.
 SIMILARITY = 0.8
 SMALL = 8
+#: Members of a large bucket that a text outside its main class is tried against, besides the centre and the first.
+SPREAD = 8
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 _STEP = np.uint64(0xA0761D6478BD642F)
 
@@ -189,10 +191,15 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     left = large.join(main, "b").where(F.col("root") != F.col("main")).select("b", "k").distinct()
     left = cut_lineage(left)
     if not left.isEmpty():
-        again = inside.select("b", "k").join(left.select("b").distinct(), "b")
+        # against members of the bucket picked by chance, others in each bucket
+        salt = F.pmod(F.xxhash64("k", "b"), F.lit(SPREAD))
+        picked = large.groupBy("b", salt.alias("salt")).agg(F.min_by("k", F.xxhash64("b", "k")).alias("o"))
+        spread = left.join(picked, "b").where("k <> o").select(F.least("k", "o").alias("a"), F.greatest("k", "o").alias("b")).distinct()
+        # and among themselves, by pairs of keys
         keys = sketches.select("k", F.col("b").alias("b2"))
-        dealt = again.join(keys, "k").where("b <> b2").select(F.xxhash64(F.least("b", "b2"), F.greatest("b", "b2")).alias("b"), "k").distinct()
-        more, _ = _candidates(dealt)
+        dealt = left.join(keys, "k").where("b <> b2").select(F.xxhash64(F.least("b", "b2"), F.greatest("b", "b2")).alias("b"), "k").distinct()
+        among, _ = _candidates(dealt)
+        more = among.union(spread).distinct()
         more = cut_lineage(more.join(tried, ["a", "b"], "leftanti"))
         links = cut_lineage(links.union(_verified(keyed, more)))
         classes = components(links)
