@@ -6,8 +6,7 @@ made of them is shared by two texts the likelier, the smaller their edit distanc
 key are candidates, and a banded alignment of their words settles them.
 
 Equal texts are one node. In a bucket (texts with one key) of up to ``SMALL`` texts all pairs are tried. In
-a larger one every text is tried against two others: the one that shares most keys with the rest, and
-the first. Texts that this leaves outside the main class of the bucket are tried against members picked by chance, others in each of
+a larger one every text is tried against the centre, the one that shares most keys with the rest. Texts that this leaves outside the main class of the bucket are tried against members picked by chance, others in each of
 their buckets, and are dealt again among themselves by pairs of keys. Work grows with the number of texts, and near copies of one original meet it.
 """
 
@@ -26,7 +25,7 @@ SHINGLE, SKETCHES, PICKED = 5, 20, 2
 #: Least share of equal words in an alignment: 1 - edit distance / longer length.
 SIMILARITY = 0.8
 SMALL = 8
-#: Members of a large bucket that a text outside its main class is tried against, besides the centre and the first.
+#: Members of a large bucket that a text outside its main class is tried against, besides the centre.
 SPREAD = 8
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 _STEP = np.uint64(0xA0761D6478BD642F)
@@ -166,9 +165,9 @@ def _candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = small.join(small.withColumnRenamed("k", "o"), "b").where("k < o").select(F.col("k").alias("a"), F.col("o").alias("b"))
     large = inside.where(F.col("n") > SMALL)
     weight = large.groupBy("k").agg(F.sum("n").alias("weight"))
-    centres = large.join(weight, "k").groupBy("b").agg(F.max_by("k", F.struct("weight", "k")).alias("hub"), F.min("k").alias("low"))
+    centres = large.join(weight, "k").groupBy("b").agg(F.max_by("k", F.struct("weight", "k")).alias("hub"))
     # most buckets of one text have the same centre: gather the different ones before they become rows
-    others = large.join(centres, "b").groupBy("k").agg(F.array_union(F.collect_set("hub"), F.collect_set("low")).alias("o"))
+    others = large.join(centres, "b").groupBy("k").agg(F.collect_set("hub").alias("o"))
     starred = others.select("k", F.explode("o").alias("o")).where("k <> o")
     return cut_lineage(pairs.union(starred.select(F.least("k", "o").alias("a"), F.greatest("k", "o").alias("b"))).distinct()), inside
 
@@ -199,7 +198,9 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         keys = sketches.select("k", F.col("b").alias("b2"))
         dealt = left.join(keys, "k").where("b <> b2").select(F.xxhash64(F.least("b", "b2"), F.greatest("b", "b2")).alias("b"), "k").distinct()
         among, _ = _candidates(dealt)
-        more = among.union(spread).distinct()
+        # texts that are of one class already need no further link
+        root = classes.select(F.col("k").alias("a"), F.col("root").alias("ra")), classes.select(F.col("k").alias("b"), F.col("root").alias("rb"))
+        more = among.union(spread).distinct().join(root[0], "a", "left").join(root[1], "b", "left").where("ra is null or rb is null or ra <> rb").select("a", "b")
         more = cut_lineage(more.join(tried, ["a", "b"], "leftanti"))
         links = cut_lineage(links.union(_verified(keyed, more)))
         classes = components(links)
