@@ -1,4 +1,5 @@
 import datetime as dt
+import unicodedata
 
 import pytest
 from conftest import rows
@@ -103,3 +104,28 @@ def test_water_is_never_fill(table):
     df = table("s double", [(0.001,), (0.0,), (1e-13,), (None,), (0.02,)])
     assert [r[0] for r in df.select(G.is_water(F.col("s"))).collect()] == [True, False, False, False, False]
     assert rows(table("r double", [(29999.0,), (10.0,)]).select(G.satellite_mm(F.col("r")))) == [(None,), (24.0,)]
+
+
+def test_published_parsing_rules(table):
+    n = table("s string", [("5d",), ("5f",), (" 1e3 ",), (".5",), ("",), (None,)])
+    assert [r[0] for r in n.select(S.number_or_null(F.col("s"))).collect()] == [None, None, 1000.0, 0.5, None, None]
+    t = table("s string", [("1/6/26 05:30",), ("01/06/26 5:30",), ("2026-6-1 5:30",), ("1/6/69 05:30",)])
+    assert [str(r[0])[:10] for r in t.select(S.parse_station_time(F.col("s"))).collect()] == ["2026-06-01"] * 3 + ["1969-06-01"]
+    f = table("s string", [("গুৱাহাটী",), ("दुर्ग",), ("ſ ",), ("ﬁre",), ("ΟΔΟΣ",)])
+    want = ["".join(c for c in unicodedata.normalize("NFD", x) if not unicodedata.combining(c)).casefold().strip() for x in ("গুৱাহাটী", "दुर्ग", "ſ ", "ﬁre", "ΟΔΟΣ")]
+    assert [r[0] for r in f.select(S.fold_text(F.col("s"))).collect()] == want
+
+
+def test_digest_tells_rows_apart(table):
+    from freshet.operators.joins import content_hash
+
+    df = table("k int, a string, b string", [(1, "a|b", "c"), (2, "a", "b|c"), (3, None, "c"), (4, "~", "c")])
+    assert content_hash(df, ["k"], ["a", "b"]).select("digest").distinct().count() == 4
+
+
+def test_telemetry_layouts_in_one_folder(spark, tmp_path):
+    from freshet.sources.points import read_telemetry
+
+    (tmp_path / "a.csv").write_text("Station,Data Acquisition Time,Rain\nA,01-02-2024 05:00,1.5\n")
+    (tmp_path / "b.csv").write_text('District,Station,Data Acquisition Time,Level\n"x, y",B,1-2-2024 6:00,2.5\n')
+    assert sorted((r.station, r.value) for r in read_telemetry(spark, str(tmp_path)).collect()) == [("A", 1.5), ("B", 2.5)]
