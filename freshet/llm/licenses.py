@@ -9,6 +9,8 @@ whose span must cover it whole on one diagonal.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +43,8 @@ TEMPLATES = [
 
 
 def license_words(text: Column) -> Column:
-    return split_words(F.lower(text), SEPARATORS)
+    """Words with A-Z in lower case; other letters stay (the Kelvin sign is no k)."""
+    return split_words(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), SEPARATORS)
 
 
 def template_grams(spark, templates: list[tuple[str, str]], phrases: list[tuple[str, str]]) -> DataFrame:

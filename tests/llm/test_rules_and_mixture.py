@@ -141,7 +141,7 @@ def test_license_scan_matches_brute_force(spark):
     texts = [
         None, "", "Released under the MIT License.", "under the mit license under the mit license", "under the mit x license", "Apache License, Version 2.0 and CC BY-NC",
         "cc by nc cc by nc", "This work is licensed under the GNU General Public License, version 3.", "this work is licensed under GNU general public license version 3",
-        "UNDER THE MIT LICENSE " * 300, "é under the mit license", "nothing at all " * 500, "by nc cc",
+        "UNDER THE MIT LICENSE " * 300, "é under the mit license", "nothing at all " * 500, "by nc cc", "under the m\u0130t license", "apache \u212ay license version 2 apache license version 2", "\u212a under the mit license",
     ]
     docs = made(spark, texts)
     got = {r.doc_id: r for r in licenses.digest(*licenses.scan(docs)).collect()}
