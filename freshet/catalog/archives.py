@@ -110,8 +110,9 @@ def _(t):
     line = F.concat_ws(",", F.concat("name", F.lit(" ")), F.lit('"North, upper"'), "lat", F.when(i % 5 != 0, F.col("level").cast("string")).otherwise("-"))
     line = F.when(i % 9 == 4, F.concat_ws(",", "name", F.lit("short"))).when(i % 9 == 5, F.concat(line, F.lit(",7.1,7.2"))).otherwise(line)
     path = fresh_path(t.spark, "marks")
-    head = t.spark.createDataFrame([("Station,District,Latitude,WarningLevel",)], "value string")
-    head.unionByName(t.v5v.select(line.alias("value"))).coalesce(1).write.text(path)
+    # whole lines as one unquoted column: every file of the folder starts with the header
+    raw = {"header": True, "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    t.v5v.select(line.alias("Station,District,Latitude,WarningLevel")).write.options(**raw).csv(path)
     return P.read_station_marks(t.spark, path)
 
 
