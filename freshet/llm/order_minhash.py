@@ -195,8 +195,10 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         picked = large.groupBy("b", salt.alias("salt")).agg(F.min_by("k", F.xxhash64("b", "k")).alias("o"))
         spread = left.join(picked, "b").where("k <> o").select(F.least("k", "o").alias("a"), F.greatest("k", "o").alias("b")).distinct()
         # and among themselves, by pairs of keys
-        keys = sketches.select("k", F.col("b").alias("b2"))
-        dealt = left.join(keys, "k").where("b <> b2").select(F.xxhash64(F.least("b", "b2"), F.greatest("b", "b2")).alias("b"), "k").distinct()
+        # (only keys of large buckets: in small ones all pairs have been tried); a text's pairs are gathered, each once, before they become rows
+        both = left.groupBy("k").agg(F.collect_set("b").alias("out")).join(large.groupBy("k").agg(F.collect_set("b").alias("all")), "k")
+        paired = F.transform("out", lambda x: F.transform(F.filter("all", lambda y: y != x), lambda y: F.xxhash64(F.least(x, y), F.greatest(x, y))))
+        dealt = both.select(F.explode(F.array_distinct(F.flatten(paired))).alias("b"), "k")
         among, _ = _candidates(dealt)
         # texts that are of one class already need no further link
         root = classes.select(F.col("k").alias("a"), F.col("root").alias("ra")), classes.select(F.col("k").alias("b"), F.col("root").alias("rb"))
