@@ -3,11 +3,8 @@
 from pyspark.sql import functions as F
 
 from freshet.catalog.registry import entry
-from freshet.session import fresh_path
 from freshet.streaming import jobs as Jb
-from freshet.streaming.runs import drain, file_stream, land
-
-WATERMARK_SQL = "(SELECT max(ts) - INTERVAL 48 HOUR FROM events)"
+from freshet.streaming.runs import drain, drain_newest, file_stream, land
 
 
 def readings(t):
@@ -18,49 +15,48 @@ def readings(t):
     )
 
 
-@entry("stream_archive_dedupe", "SELECT event_id, station, ts, value FROM v1r", num="value", text="ts")
+@entry("stream_archive_dedupe", "SELECT event_id, station, ts, value + CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS value FROM v1r", num="value", text="ts")
 def _(t):
-    feed = readings(t)
-    # the rolling feed repeats rows it has already delivered
-    again = readings(t).filter("event_id % 3 = 0")
-    return drain(Jb.archive_once(feed.unionByName(again), ["event_id"], "ts"), "dedupe").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    # the rolling feed sends rows again that it has already delivered, some of them corrected
+    feed = readings(t).withColumn("version", F.lit(1))
+    again = readings(t).filter("event_id % 3 = 0").withColumns({"value": F.col("value") + 1, "version": F.lit(2)})
+    archive = drain_newest(feed.unionByName(again), "dedupe", ["event_id"], ["version"])
+    return archive.drop("version").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @entry(
     "stream_daily_totals",
-    f"""SELECT station, day, total, n FROM (SELECT station, date_trunc('day', ts)::TIMESTAMP AS day, sum(value) AS total, count(*) AS n FROM v1r GROUP BY 1, 2) WHERE day + INTERVAL 1 DAY <= {WATERMARK_SQL}""",
+    "SELECT station, date_trunc('day', ts)::TIMESTAMP AS day, sum(value) AS total, count(*) AS n FROM v1r GROUP BY 1, 2",
     num="total",
     text="day",
 )
 def _(t):
-    return drain(Jb.totals(readings(t), "station", "ts", "value"), "daily").withColumnRenamed("start", "day")
+    return drain_newest(Jb.totals(readings(t), "station", "ts", "value"), "daily", ["station", "start"]).withColumnRenamed("start", "day")
 
 
 @entry(
     "stream_trailing_24h",
-    f"""SELECT station, "at", sum(value) AS total FROM (SELECT station, value, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 6 HOUR + INTERVAL (k * 6) HOUR AS "at" FROM v1r, range(4) r(k))
-        WHERE "at" <= {WATERMARK_SQL} GROUP BY 1, 2""",
+    """SELECT station, "at", sum(value) AS total FROM (SELECT station, value, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 6 HOUR + INTERVAL (k * 6) HOUR AS "at" FROM v1r, range(4) r(k))
+        GROUP BY 1, 2""",
     num="total",
     text='"at"',
 )
 def _(t):
-    return drain(Jb.trailing_windows(readings(t), "station", "ts", "value"), "trailing")
+    return drain_newest(Jb.trailing_windows(readings(t), "station", "ts", "value"), "trailing", ["station", "at"])
 
 
 @entry(
     "stream_threshold_events",
-    f"""WITH x AS (SELECT station, date_trunc('hour', ts)::TIMESTAMP AS hour, sum(value) AS total FROM v1r GROUP BY 1, 2), y AS (SELECT * FROM x WHERE hour + INTERVAL 1 HOUR <= {WATERMARK_SQL}),
-       z AS (SELECT *, total >= 100 AS up, row_number() OVER w AS rn, count(*) FILTER (total < 100) OVER (PARTITION BY station ORDER BY hour ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS below FROM y WINDOW w AS (PARTITION BY station ORDER BY hour)),
+    """WITH x AS (SELECT station, date_trunc('hour', ts)::TIMESTAMP AS hour, sum(value) AS total FROM v1r GROUP BY 1, 2),
+       z AS (SELECT *, total >= 100 AS up, row_number() OVER w AS rn, max(hour) OVER (PARTITION BY station) AS newest FROM x WINDOW w AS (PARTITION BY station ORDER BY hour)),
        g AS (SELECT *, rn - row_number() OVER (PARTITION BY station ORDER BY hour) AS k FROM z WHERE up)
-       SELECT station, min(hour) AS onset, max(hour) AS "end", max(total) AS peak, count(*) AS n_hours FROM g WHERE below > 0 GROUP BY station, k""",
+       SELECT station, min(hour) AS onset, max(hour) AS "end", max(total) AS peak, count(*) AS n_hours, max(hour) = max(newest) AS is_open FROM g GROUP BY station, k""",
     num="peak",
     text='onset "end"',
 )
 def _(t):
     hourly = Jb.totals(readings(t), "station", "ts", "value", "1 hour").select("station", F.col("start").alias("hour"), "total")
-    landed = fresh_path(t.spark, "hours")
-    drain(hourly, "hours", sink=landed)
-    return drain(Jb.threshold_events(file_stream(t.spark, landed, hourly.schema), 100.0), "runs")
+    return Jb.events_so_far(drain_newest(hourly, "hours", ["station", "hour"]), 100.0)
 
 
 @entry(

@@ -167,8 +167,10 @@ def drift_status(history: DataFrame, live: DataFrame, key: str, day: str, value:
     ``history``: (key, input, day, value); ``live``: (key, input, day, v). Overall is the worst
     seasonal status of a key; unknown ranks with in-range.
     """
-    h = history.filter(F.col(value).isNotNull()).withColumn("_doy", F.dayofyear(day)).withColumn("_key", F.concat_ws("|", key, "input"))
-    p = live.withColumn("_p", F.dayofyear(day)).withColumn("_key", F.concat_ws("|", key, "input")).select("_key", "_p", "v")
+    # a key that cannot be read in two ways, whatever its parts hold
+    both = F.to_json(F.struct(F.col(key).alias("k"), F.col("input").alias("i")))
+    h = history.filter(F.col(value).isNotNull()).withColumn("_doy", F.dayofyear(day)).withColumn("_key", both)
+    p = live.withColumn("_p", F.dayofyear(day)).withColumn("_key", both).select("_key", "_p", "v")
     cols = lambda: [
         F.count(F.lit(1)).alias("n"),
         F.min(value).alias("lo"),
@@ -181,7 +183,7 @@ def drift_status(history: DataFrame, live: DataFrame, key: str, day: str, value:
     out = live
     for name, ref in (("seasonal", seas), ("season_all", mon)):
         r = ref.select(F.col("_key"), *[F.col(c).alias(f"_{c}") for c in ("n", "lo", "hi", "pp", "share")])
-        out = out.withColumn("_key", F.concat_ws("|", key, "input")).join(r, "_key", "left").drop("_key")
+        out = out.withColumn("_key", both).join(r, "_key", "left").drop("_key")
         n = F.coalesce(F.col("_n"), F.lit(0))
         status = range_status(F.col("v"), n, F.col("_lo"), F.col("_hi"), F.col("_pp")[0], F.col("_pp")[1])
         out = out.withColumn(f"{name}_status", status).withColumn(

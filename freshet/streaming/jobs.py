@@ -11,25 +11,33 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from freshet.operators.archive_rows import oldest
 from freshet.operators.ordering import active_sorted
+from freshet.operators.windows import runs_above
 from freshet.session import fresh_path
 from freshet.sources.archive import merge_keep_first
 from freshet.streaming.runs import LATENESS, drain_batches
 
 
 def archive_once(feed: DataFrame, keys: list[str], ts: str, lateness: str = LATENESS) -> DataFrame:
-    """Rows of a rolling feed, each key once."""
+    """Rows of a rolling feed, each key once within the lateness and the first one kept.
+
+    For an archive in which corrections count, whenever they come, run the feed itself through ``drain_newest``.
+    """
     return feed.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(keys)
 
 
 def totals(readings: DataFrame, key: str, ts: str, value: str, width: str = "1 day", lateness: str = LATENESS) -> DataFrame:
-    """Final sums per day (or hour); one is emitted once the watermark has passed its end."""
+    """Sums per day (or hour).
+
+    Run in append mode (``drain``) a window is emitted once, when the watermark has passed its end; in update
+    mode (``drain_newest`` by key and start) it is there at once and replaced as readings come in.
+    """
     w = F.window(ts, width)
     g = readings.withWatermark(ts, lateness).groupBy(w, key).agg(F.sum(value).alias("total"), F.count(F.lit(1)).alias("n"))
     return g.select(key, F.col("window.start").alias("start"), "total", "n")
 
 
 def trailing_windows(readings: DataFrame, key: str, ts: str, value: str, span: str = "24 hours", every: str = "6 hours", lateness: str = LATENESS) -> DataFrame:
-    """Trailing sums at fixed steps, as sliding windows named by their end."""
+    """Trailing sums at fixed steps, as sliding windows named by their end; modes as for ``totals``."""
     w = F.window(ts, span, every)
     g = readings.withWatermark(ts, lateness).groupBy(w, key).agg(F.sum(value).alias("total"))
     return g.select(key, F.col("window.end").alias("at"), "total")
@@ -71,6 +79,17 @@ def threshold_events(hours: DataFrame, threshold: float) -> DataFrame:
     return hours.groupBy("station").applyInPandasWithState(_runs(threshold), RUN_OUTPUT, RUN_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+def events_so_far(hours: DataFrame, threshold: float) -> DataFrame:
+    """Runs of the newest hourly totals, those still going on included (``is_open``: no hour below has come).
+
+    ``hours`` is what ``drain_newest`` gives for hourly totals: one row per station and hour, open hours
+    too, so a run may still grow or, after a late reading, join its neighbour.
+    """
+    runs = runs_above(hours, ["station"], "hour", "total", F.lit(threshold)).withColumnRenamed("n_rows", "n_hours")
+    last = hours.groupBy("station").agg(F.max("hour").alias("_last"))
+    return runs.join(last, "station").withColumn("is_open", F.col("end") == F.col("_last")).drop("_last")
+
+
 def verify_forecasts(forecasts: DataFrame, observed: DataFrame, key: str, horizon: str = "192 days", lateness: str = LATENESS) -> DataFrame:
     """Forecasts (key, id, issued_ts, target_ts, fc) scored as their target (key, obs_ts, obs) is observed.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from freshet.operators.archive_rows import newest
 from freshet.session import fresh_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -56,12 +57,40 @@ def drain(stream: DataFrame, name: str, sink: str | None = None, checkpoint: str
         return spark.createDataFrame([], stream.schema)
 
 
-def drain_batches(stream: DataFrame, name: str, each: Callable[[DataFrame, int], None], checkpoint: str | None = None, timeout: int | None = None) -> None:
+def drain_newest(
+    stream: DataFrame, name: str, keys: list[str], order: list[str] | None = None, sink: str | None = None, checkpoint: str | None = None, timeout: int | None = None
+) -> DataFrame:
+    """Process everything available in update mode and give back the newest version of every key.
+
+    Each batch appends its rows to a folder of its own (a repeated batch replaces that folder), so
+    nothing older is read or rewritten, no version is ever forgotten, and sums of windows that are still open
+    are there until a later batch replaces them. Within one batch the row with the largest ``order`` wins.
+    """
+    spark = stream.sparkSession
+    sink = sink or fresh_path(spark, f"{name}-sink")
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        rows = newest(batch, keys, order) if order else batch
+        rows.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    drain_batches(stream, name, publish, checkpoint, timeout, "update")
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    try:
+        return newest(spark.read.schema(schema).parquet(sink), keys, ["batch"]).select(*stream.columns)
+    except AnalysisException:
+        # nothing has arrived yet, so there is no sink
+        return spark.createDataFrame([], stream.schema)
+
+
+def drain_batches(
+    stream: DataFrame, name: str, each: Callable[[DataFrame, int], None], checkpoint: str | None = None, timeout: int | None = None, mode: str = "append"
+) -> None:
     """Process everything available through ``each(batch, batch_id)``, which must be repeatable."""
     spark = stream.sparkSession
     _use_rocksdb(spark)
     q = (
         stream.writeStream.foreachBatch(each)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint or fresh_path(spark, f"{name}-checkpoint"))
         .trigger(availableNow=True)
         .start()

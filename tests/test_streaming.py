@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from freshet.session import fresh_path
 from freshet.streaming import jobs as Jb
-from freshet.streaming.runs import drain, file_stream
+from freshet.streaming.runs import drain, drain_newest, file_stream
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -64,3 +64,35 @@ def test_days_inside_the_watermark_are_held_back(spark, table):
     table(schema, data).write.parquet(inbox)
     out = drain(Jb.totals(file_stream(spark, inbox, table(schema, []).schema), "s", "ts", "v"), "daily")
     assert rows(out.select("total", "start")) == [(24.0, T0), (24.0, T0 + dt.timedelta(days=1))]
+
+
+def test_archive_takes_corrections_however_late(spark, table):
+    inbox, sink, check = (fresh_path(spark, n) for n in ("inbox", "sink", "check"))
+    schema = "i int, ts timestamp, v double, version int"
+    old, new = T0, T0 + dt.timedelta(days=30)
+    for part in ([(1, old, 1.0, 1), (2, old, 2.0, 1)], [(3, new, 3.0, 1), (2, old, 2.5, 2), (2, old, 2.2, 1)], [(1, old, 1.5, 2)]):
+        table(schema, part).coalesce(1).write.mode("append").parquet(inbox)
+        out = drain_newest(file_stream(spark, inbox, table(schema, []).schema), "archive", ["i"], ["version"], sink, check)
+    assert rows(out.select("i", "v")) == [(1, 1.5), (2, 2.5), (3, 3.0)]
+
+
+def test_open_windows_are_published_and_replaced(spark, table):
+    inbox, sink, check = (fresh_path(spark, n) for n in ("inbox", "sink", "check"))
+    schema = "station int, ts timestamp, v double"
+    at = lambda h: T0 + dt.timedelta(hours=h)
+    seen = []
+    # the second batch brings a late reading for hour 1 and goes on with hour 2; the third ends the run
+    for part in ([(1, at(0), 8.0), (1, at(1), 4.0)], [(1, at(1), 5.0), (1, at(2), 7.0)], [(1, at(3), 1.0)]):
+        table(schema, part).coalesce(1).write.mode("append").parquet(inbox)
+        hourly = Jb.totals(file_stream(spark, inbox, table(schema, []).schema), "station", "ts", "v", "1 hour").select("station", F.col("start").alias("hour"), "total")
+        hours = drain_newest(hourly, "hours", ["station", "hour"], sink=sink, checkpoint=check)
+        seen.append(rows(Jb.events_so_far(hours, 7.0).select("station", "onset", "end", "peak", "n_hours", "is_open")))
+    assert seen == [[(1, at(0), at(0), 8.0, 1, False)], [(1, at(0), at(2), 9.0, 3, True)], [(1, at(0), at(2), 9.0, 3, False)]]
+    assert rows(hours.select("total")) == [(1.0,), (7.0,), (8.0,), (9.0,)]
+
+
+def test_nothing_has_arrived(spark, table):
+    empty = table("i int, ts timestamp, v double", [])
+    inbox = fresh_path(spark, "inbox")
+    empty.write.parquet(inbox)
+    assert rows(drain_newest(file_stream(spark, inbox, empty.schema), "none", ["i"])) == []
