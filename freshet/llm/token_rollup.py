@@ -113,7 +113,8 @@ def deduplicated_rollup(docs: DataFrame, tokenizers: dict[str, object], root: st
     # rows equal in everything: all of them match ``first``; take away their number less one
     extra = repeats.where(own.eqNullSafe(F.col("first"))).groupBy("k", "source", "lang").agg(F.count("*").alias("same"), F.first("text").alias("text")).where("same > 1")
     extra = extra.select("text", "source", "lang", F.explode(F.sequence(F.lit(2), F.col("same").cast("int"))).alias("i")).drop("i")
-    deleted = counted(gone.select("text", "source", "lang").union(extra), tokenizers, sign=-1)
+    # a batch that is sent again is the same batch: its texts are tokenized once
+    deleted = cut_lineage(counted(gone.select("text", "source", "lang").union(extra), tokenizers, sign=-1))
     for _ in range(2):
         commit(root, "2-delete", deleted)
     masked = d.where(F.col("text").rlike(EMAIL)).withColumn("k", key)
