@@ -1,9 +1,10 @@
 """Near-duplicate detection by Order MinHash.
 
-A text's k-mers are its runs of five words, labelled with how often the run has occurred before. For each of
+A text's k-mers are its runs of three words, labelled with how often the run has occurred before. For each of
 several hash functions the smallest labelled k-mers are taken and kept in text order; the key
-made of them is shared by two texts the likelier, the smaller their edit distance. Texts with a common
-key are candidates, and a banded alignment of their words settles them.
+made of them is shared by two texts the likelier, the smaller their edit distance. Texts of up to ``MIDDLE`` words
+have keys of two-word runs besides. Texts of up to ``SHORT`` words have, as an exact way, one key for each way of leaving out as many
+words as a link may differ by. Texts with a common key are candidates, and a banded alignment of their words settles them.
 
 Equal texts are one node. In a bucket (texts with one key) of up to ``SMALL`` texts all pairs are tried. In
 a larger one every text is tried against the centre, the one that shares most keys with the rest. Texts that this leaves outside the main class of the bucket are tried against members picked by chance, others in each of
@@ -12,6 +13,9 @@ their buckets, and are dealt again among themselves by pairs of keys. Work grows
 
 from __future__ import annotations
 
+import functools
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,7 +25,9 @@ from freshet.llm.arrays import Words, mixed, slices
 from freshet.llm.common import broadcast_within, whole_text
 from freshet.session import cut_lineage
 
-SHINGLE, SKETCHES, PICKED = 5, 20, 2
+SHINGLE, SKETCHES, PICKED = 3, 48, 2
+#: Texts of up to so many words have keys of words left out, and keys of two-word runs.
+SHORT, MIDDLE = 14, 60
 #: Least share of equal words in an alignment: 1 - edit distance / longer length.
 SIMILARITY = 0.8
 SMALL = 8
@@ -42,14 +48,8 @@ def _word_hashes(texts: list[str]) -> list[np.ndarray]:
     return [np.concatenate(p) if p else np.zeros(0, np.uint64) for p in parts]
 
 
-def sketch(words: np.ndarray) -> np.ndarray:
-    """One key per hash function for the word hashes of a text (none for an empty text).
-
-    A text of fewer than five words is one k-mer.
-    """
-    if not len(words):
-        return np.zeros(0, np.uint64)
-    size = min(SHINGLE, len(words))
+def _labelled(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` words in text order, each with how often it has occurred before."""
     n = len(words) - size + 1
     grams = np.zeros(n, np.uint64)
     for k in range(size):
@@ -60,12 +60,28 @@ def sketch(words: np.ndarray) -> np.ndarray:
     start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
     labelled = np.empty(n, np.uint64)
     labelled[order] = mixed(ordered + (np.arange(n) - start).astype(np.uint64) * _STEP)
+    return labelled
+
+
+def sketch(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """One key per hash function for the word hashes of a text (none for an empty text).
+
+    A text of fewer than ``size`` words is one k-mer.
+    """
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    labelled = _labelled(words, min(size, len(words)))
+    n = len(labelled)
     keys = np.empty(SKETCHES, np.uint64)
     take = min(PICKED, n)
     step = max(1, 4_000_000 // n)
     for k in range(0, SKETCHES, step):
         h = mixed(labelled[None, :] ^ _SEEDS[k : k + step, None])
-        places = np.sort(np.argpartition(h, take - 1, axis=1)[:, :take], axis=1)
+        places = np.empty((len(h), take), np.int64)
+        for j in range(take):
+            places[:, j] = h.argmin(axis=1)
+            h[np.arange(len(h)), places[:, j]] = np.iinfo(np.uint64).max
+        places.sort(axis=1)
         key = np.zeros(len(h), np.uint64)
         for j in range(take):
             key = mixed(key * _STEP + labelled[places[:, j]])
@@ -73,6 +89,37 @@ def sketch(words: np.ndarray) -> np.ndarray:
     return keys
 
 
+@functools.cache
+def _kept(n: int, out: int) -> np.ndarray:
+    return np.array(list(itertools.combinations(range(n), n - out)))
+
+
+def left_out(words: np.ndarray) -> np.ndarray:
+    """A key for each way of leaving out up to as many words as a link may differ by: two short texts that link share one."""
+    n, keys = len(words), []
+    for out in range(int((1 - SIMILARITY) * n + 1e-9) + 1):
+        some = words[_kept(n, out)]
+        key = np.full(len(some), n - out, np.uint64)
+        for k in range(n - out):
+            key = mixed(key * _STEP + some[:, k])
+        keys.append(key)
+    return np.unique(np.concatenate(keys))
+
+
+def buckets_of(words: np.ndarray) -> np.ndarray:
+    """All keys of a text; each kind and each hash function has keys of its own."""
+    n = len(words)
+    parts = []
+    if 0 < n <= SHORT:
+        parts.append(mixed(left_out(words) + np.uint64(1)))
+    # shorter ones link to no text of more than SHORT words
+    if n >= SIMILARITY * (SHORT + 1) - 1e-9:
+        parts.append(mixed(sketch(words) + _SEEDS))
+        if n <= MIDDLE:
+            parts.append(mixed(sketch(words, 2) ^ _SEEDS))
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
 def alignment(a: list, b: list, least: float = SIMILARITY) -> float:
     """1 - edit distance / longer length, or 0 if that is under ``least``.
 
@@ -124,9 +171,8 @@ def _sketched(batches):
     for b in batches:
         for i in range(0, len(b), 500):
             some = b.iloc[i : i + 500]
-            keys = [sketch(w) for w in _word_hashes(some["text"].tolist())]
-            n = [len(k) for k in keys]
-            yield pd.DataFrame({"k": np.repeat(some["k"].to_numpy(object), n), "j": np.concatenate([np.arange(x, dtype=np.int32) for x in n]), "key": np.concatenate(keys).view(np.int64)})
+            keys = [buckets_of(w) for w in _word_hashes(some["text"].tolist())]
+            yield pd.DataFrame({"k": np.repeat(some["k"].to_numpy(object), [len(k) for k in keys]), "b": np.concatenate(keys).view(np.int64)})
 
 
 def _hashed(batches):
@@ -179,9 +225,8 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     empty, and empty texts are copies of each other. Rows repeated in ``docs`` are copies too. An empty table has no classes.
     """
     keyed = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text")).withColumn("k", F.unhex(F.md5(F.col("text").cast("binary"))))
-    sketches = keyed.select("k", "text").mapInPandas(_sketched, "k binary, j int, key long").distinct()
-    sketches = cut_lineage(sketches.withColumn("b", F.xxhash64("j", "key")))
-    tried, inside = _candidates(sketches.select("b", "k"))
+    sketches = cut_lineage(keyed.select("k", "text").mapInPandas(_sketched, "k binary, b long").distinct())
+    tried, inside = _candidates(sketches)
     links = _verified(keyed, tried)
     classes = components(links)
     # texts outside the class of their large bucket's centre: dealt again by pairs of keys

@@ -79,6 +79,41 @@ def test_classes_match_brute_force(spark):
     assert classes(made(spark, texts)) == {i: top(i) for i in range(len(texts))}
 
 
+def test_keys_find_links_from_the_least_similarity_on():
+    rng = np.random.default_rng(7)
+
+    def share(n, similarity, pairs=200):
+        found = 0
+        for _ in range(pairs):
+            a = rng.integers(1, 1 << 62, n).astype(np.uint64)
+            b = a.copy()
+            at = rng.choice(n, int((1 - similarity) * n + 1e-9), replace=False)
+            b[at] = rng.integers(1, 1 << 62, len(at)).astype(np.uint64)
+            found += len(np.intersect1d(order_minhash.buckets_of(a), order_minhash.buckets_of(b))) > 0
+        return found / pairs
+
+    assert all(share(n, 0.8) == 1 for n in range(5, 13))
+    assert all(share(n, s) >= 0.98 for n in (16, 20, 30, 61, 200) for s in (0.8, 0.83, 0.85, 0.88, 0.9))
+
+
+def test_short_texts_are_found_exactly():
+    rng = random.Random(8)
+    for _ in range(2000):
+        a = [rng.randrange(12) for _ in range(rng.randrange(1, 15))]
+        b = list(a)
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(b) + 1)
+            b[k : k + rng.randrange(2)] = [rng.randrange(12)] * rng.randrange(2)
+        b = b[:14]
+        if b and edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
+            assert len(np.intersect1d(order_minhash.buckets_of(np.array(a, np.uint64)), order_minhash.buckets_of(np.array(b, np.uint64))))
+
+
+def test_short_near_copies_become_one_class(spark):
+    nine = "one two three four five six seven eight nine"
+    assert classes(made(spark, [nine, nine.replace("five", "5"), "a b c d e", "a b c d e f", "u v w x", "u v w y"])) == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 5}
+
+
 def test_large_groups_and_empty_tables(spark):
     rng = random.Random(3)
     base = words(rng, 100)
