@@ -7,8 +7,9 @@ have keys of two-word runs besides. Texts of up to ``SHORT`` words have, as an e
 words as a link may differ by. Texts with a common key are candidates, and a banded alignment of their words settles them.
 
 Equal texts are one node. In a bucket (texts with one key) of up to ``SMALL`` texts all pairs are tried. In
-a larger one every text is tried against the centre, the one that shares most keys with the rest. Texts that this leaves outside the main class of the bucket are tried against members picked by chance, others in each of
-their buckets, and are dealt again among themselves by pairs of keys. Work grows with the number of texts, and near copies of one original meet it.
+a larger one every text is tried against the centre, the one that shares most keys with the rest. Buckets that then still hold
+several classes are gone through block by block: a link of 0.8 means that two thirds of all the words of both are common, which a mark of
+64 bytes estimates, so all pairs of different classes are compared by their marks and the likely ones tried, nearest first, in rounds until none is left untried.
 """
 
 from __future__ import annotations
@@ -31,10 +32,13 @@ SHORT, MIDDLE = 14, 60
 #: Least share of equal words in an alignment: 1 - edit distance / longer length.
 SIMILARITY = 0.8
 SMALL = 8
-#: Members of a large bucket that a text outside its main class is tried against, besides the centre.
-SPREAD = 8
+#: Bytes of a mark, and how many of them two texts must share to be tried: two thirds are expected at the least similarity, this is four standard errors under it.
+MARK, LIKE = 64, 28
+#: Texts of a large bucket that are compared in one task, at most (about); partners of a text that the first round tries, and the factor of each further one.
+BLOCK, FIRST, FURTHER = 2000, 4, 4
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 _STEP = np.uint64(0xA0761D6478BD642F)
+_MARKS = mixed(np.arange(1, MARK + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB))
 
 
 def _word_hashes(texts: list[str]) -> list[np.ndarray]:
@@ -175,11 +179,90 @@ def _sketched(batches):
             yield pd.DataFrame({"k": np.repeat(some["k"].to_numpy(object), [len(k) for k in keys]), "b": np.concatenate(keys).view(np.int64)})
 
 
+def mark(words: np.ndarray) -> bytes:
+    """A byte of the smallest labelled word under each of ``MARK`` hash functions."""
+    if not len(words):
+        return bytes(MARK)
+    labelled = _labelled(words, 1)
+    least = np.full(MARK, np.iinfo(np.uint64).max)
+    for i in range(0, len(labelled), 50_000):
+        least = np.minimum(least, mixed(labelled[None, i : i + 50_000] ^ _MARKS[:, None]).min(axis=1))
+    return (least & np.uint64(255)).astype(np.uint8).tobytes()
+
+
 def _hashed(batches):
     for b in batches:
         yield pd.DataFrame({"k": b["k"], "w": [w.tobytes() for w in _word_hashes(b["text"].tolist())]})
 
 
+def _marked(batches):
+    for b in batches:
+        yield pd.DataFrame({"k": b["k"], "s": [mark(np.frombuffer(w, np.uint64)) for w in b["w"]]})
+
+
+def _likely(most: int):
+    def found(rows: pd.DataFrame) -> pd.DataFrame:
+        """The ``most`` likeliest partners of other classes of each text in a pair of blocks; a row of a text and itself if it has more."""
+        keys, root = rows["k"].to_numpy(object), pd.factorize(rows["root"])[0]
+        part, (p, q) = rows["part"].to_numpy(), rows.loc[rows.index[0], ["p", "q"]]
+        marks = np.frombuffer(b"".join(rows["s"]), np.uint8).reshape(len(rows), MARK)
+        left, right = np.flatnonzero(part == p), np.flatnonzero(part == q)
+        other = marks[right].T
+        a, b = [], []
+        for i in left:
+            same = np.zeros(len(right), np.uint8)
+            for x, column in zip(marks[i], other, strict=True):
+                same += column == x
+            at = np.flatnonzero((same >= LIKE) & (root[right] != root[i]))
+            if len(at) > most:
+                at = at[np.argsort(-same[at].astype(np.int16), kind="stable")[:most]]
+                a.append(keys[i])
+                b.append(keys[i])
+            a += [keys[i]] * len(at)
+            b += list(keys[right[at]])
+        out = pd.DataFrame({"a": a, "b": b}, dtype=object)
+        turned = [x > y for x, y in zip(a, b, strict=True)]
+        out.loc[turned, ["a", "b"]] = out.loc[turned, ["b", "a"]].to_numpy()
+        return out.drop_duplicates()
+
+    return found
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of buckets (b, n, k) in pairs of blocks p <= q of the bucket, so that any two texts of a bucket meet in one."""
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    cut = rows.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "k"), parts).cast("int"))
+    cut = cut.withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return cut.withColumn("p", F.least("part", "with")).withColumn("q", F.greatest("part", "with"))
+
+
+def _settled(keyed: DataFrame, large: DataFrame, tried: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes after all likely pairs of different classes in large buckets have been tried."""
+    held, most = None, FIRST
+    while True:
+        rows = large.join(classes, "k", "left").withColumn("root", F.coalesce("root", "k"))
+        # buckets of the same texts count once
+        kinds = rows.groupBy("b").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("same")).where("x <> y")
+        open_ = kinds.groupBy("n", "same").agg(F.min("b").alias("b"))
+        rows = cut_lineage(rows.select("b", "k", "root").join(open_.select("b", "n"), "b"))
+        if rows.isEmpty():
+            return classes
+        if held is None:
+            held = _texts(keyed, rows.select("k").distinct())
+            marks = cut_lineage(held.mapInPandas(_marked, "k binary, s binary"))
+        pairs = _in_blocks(rows).join(marks, "k").groupBy("b", "p", "q").applyInPandas(_likely(most), "a binary, b binary")
+        pairs = cut_lineage(pairs.distinct())
+        more = cut_lineage(pairs.where("a <> b").join(tried, ["a", "b"], "leftanti"))
+        some = not more.isEmpty()
+        if some:
+            links = cut_lineage(links.union(_linked(held, more)))
+            tried = cut_lineage(tried.union(more))
+            classes = components(links)
+        elif pairs.where("a = b").isEmpty():
+            return classes
+        most *= FURTHER
+
+
 def _aligned(batches):
     for b in batches:
         good = []
@@ -229,42 +312,28 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     tried, inside = _candidates(sketches)
     links = _verified(keyed, tried)
     classes = components(links)
-    # texts outside the class of their large bucket's centre: dealt again by pairs of keys
-    large = inside.where(F.col("n") > SMALL).join(classes, "k", "left").withColumn("root", F.coalesce("root", "k"))
-    main = large.groupBy("b", "root").agg(F.count("*").alias("m")).groupBy("b").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
-    left = large.join(main, "b").where(F.col("root") != F.col("main")).select("b", "k").distinct()
-    left = cut_lineage(left)
-    if not left.isEmpty():
-        # against members of the bucket picked by chance, others in each bucket
-        salt = F.pmod(F.xxhash64("k", "b"), F.lit(SPREAD))
-        picked = large.groupBy("b", salt.alias("salt")).agg(F.min_by("k", F.xxhash64("b", "k")).alias("o"))
-        spread = left.join(picked, "b").where("k <> o").select(F.least("k", "o").alias("a"), F.greatest("k", "o").alias("b")).distinct()
-        # and among themselves, by pairs of keys
-        # (only keys of large buckets: in small ones all pairs have been tried); a text's pairs are gathered, each once, before they become rows
-        both = left.groupBy("k").agg(F.collect_set("b").alias("out")).join(large.groupBy("k").agg(F.collect_set("b").alias("all")), "k")
-        paired = F.transform("out", lambda x: F.transform(F.filter("all", lambda y: y != x), lambda y: F.xxhash64(F.least(x, y), F.greatest(x, y))))
-        dealt = both.select(F.explode(F.array_distinct(F.flatten(paired))).alias("b"), "k")
-        among, _ = _candidates(dealt)
-        # texts that are of one class already need no further link
-        root = classes.select(F.col("k").alias("a"), F.col("root").alias("ra")), classes.select(F.col("k").alias("b"), F.col("root").alias("rb"))
-        more = among.union(spread).distinct().join(root[0], "a", "left").join(root[1], "b", "left").where("ra is null or rb is null or ra <> rb").select("a", "b")
-        more = cut_lineage(more.join(tried, ["a", "b"], "leftanti"))
-        links = cut_lineage(links.union(_verified(keyed, more)))
-        classes = components(links)
+    classes = _settled(keyed, inside.where(F.col("n") > SMALL).select("b", "k"), tried, links, classes)
     ids = keyed.groupBy("k").agg(F.min("doc_id").alias("least")).join(classes, "k", "left").withColumn("root", F.coalesce("root", "k"))
     ids = cut_lineage(ids)
     least = ids.groupBy("root").agg(F.min("least").alias("class_id"))
     return keyed.select("doc_id", "k"), cut_lineage(ids.join(least, "root").select("k", "root", "class_id"))
 
 
-def _verified(keyed: DataFrame, pairs: DataFrame) -> DataFrame:
-    nodes = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct())
-    texts = keyed.select("k", "text").join(broadcast_within(nodes), "k", "leftsemi").mapInPandas(_hashed, "k binary, w binary").dropDuplicates(["k"])
-    texts = cut_lineage(texts)
+def _texts(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """k, w: the word hashes of the texts in ``nodes``."""
+    nodes = cut_lineage(nodes)
+    return cut_lineage(keyed.select("k", "text").join(broadcast_within(nodes), "k", "leftsemi").mapInPandas(_hashed, "k binary, w binary").dropDuplicates(["k"]))
+
+
+def _linked(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     joined = pairs.join(texts.select(F.col("k").alias("a"), F.col("w").alias("wa")), "a").join(texts.select(F.col("k").alias("b"), F.col("w").alias("wb")), "b")
     return cut_lineage(joined.select("a", "b", "wa", "wb").mapInPandas(_aligned, "a binary, b binary"))
 
 
+def _verified(keyed: DataFrame, pairs: DataFrame) -> DataFrame:
+    return _linked(_texts(keyed, pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()), pairs)
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class: the one with the smallest id, with all columns of ``docs``."""
     _, classes = near_classes(docs, doc_id, text)

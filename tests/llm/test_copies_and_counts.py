@@ -131,6 +131,42 @@ def test_large_groups_and_empty_tables(spark):
     assert order_minhash.keep_one(docs.limit(0)).count() == 0
 
 
+def test_links_inside_one_large_bucket_of_many_classes(spark):
+    # 150 originals share a long passage, so they share buckets; the two or three versions of each link only to each other
+    rng = random.Random(9)
+    passage, texts, want = words(rng, 60), [], {}
+    for c in range(150):
+        base = words(rng, 100)
+        for v in range(rng.choice([2, 3])):
+            w = list(base)
+            for at in rng.sample(range(100), 8):
+                w[at] = f"c{c}v{v}{at}"
+            want[len(texts)] = c
+            texts.append(" ".join(passage + w))
+    least = {}
+    for i, c in want.items():
+        least.setdefault(c, i)
+    assert classes(made(spark, texts)) == {i: least[c] for i, c in want.items()}
+
+
+def test_texts_that_meet_only_in_a_large_bucket_are_tried(spark):
+    # one bucket of 60 pairs of versions: a text links to its twin and to nobody else
+    rng = random.Random(10)
+    texts = {}
+    for c in range(60):
+        base = words(rng, 50)
+        for v in range(2):
+            w = list(base)
+            for at in rng.sample(range(50), 4):
+                w[at] = f"c{c}v{v}{at}"
+            texts[c, v] = w
+    docs = spark.createDataFrame([(f"{c:02}{v}".encode(), " ".join(w)) for (c, v), w in texts.items()], "k binary, text string")
+    none = spark.createDataFrame([], "a binary, b binary")
+    large = docs.select(F.lit(1).cast("long").alias("b"), "k")
+    got = order_minhash._settled(docs, large, none, none, order_minhash.components(none))
+    assert {bytes(r.k): bytes(r.root) for r in got.collect()} == {f"{c:02}{v}".encode(): f"{c:02}0".encode() for c, v in texts}
+
+
 def test_rollup_follows_changes_and_commits_once(spark):
     root = fresh_path(spark, "rollup")
     schema = "source string, lang string, tokenizer string, sign int, tokens long, characters long"
