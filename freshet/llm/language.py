@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from freshet.llm.arrays import lookup, mixed
 from freshet.llm.common import crc_fold, whole_text
+from freshet.session import cut_lineage
 
 ORDER = 4
-#: Labelled texts per language that the models and their calibration are fitted on, at most (about).
+#: Different labelled texts per language that the models and their calibration are fitted on, at most (about).
 SAMPLE = 2000
 #: Share of known texts that calibration may reject.
 REJECT = 0.001
@@ -174,16 +175,26 @@ class Languages:
             self.limits |= {k: float(np.quantile(entropy[at == i, i], 1 - reject)) * 1.1 for i, k in enumerate(self.names) if (at == i).any()}
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Languages:
-    """Learns from rows with a language and a text; one in ten of the sample is kept for calibration.
+def sampled(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> DataFrame:
+    """text, lang, fold: about ``sample`` different texts of each language, each once however often it is copied.
 
-    Sizes: ``sample`` texts per language bound the count table that reaches the driver.
+    Fold 0 is for calibration; a language of fewer than ten texts in all has none there.
     """
     d = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    sizes = {r.lang: r.n for r in d.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    part = F.coalesce(*[F.when(F.col("lang") == k, F.lit(int(1e6 * min(1.0, sample / n)))) for k, n in sorted(sizes.items())], F.lit(0))
     key = F.xxhash64("text")
-    d = d.where(F.pmod(key, F.lit(1_000_000)) < part).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(10)))
+    sizes = {r.lang: r.n for r in d.select("lang", key.alias("key")).distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    parts = 1_000_000_000_000
+    at = lambda f: F.coalesce(*[F.when(F.col("lang") == k, F.lit(f(n))) for k, n in sorted(sizes.items())], F.lit(0))
+    d = d.where(F.pmod(key, F.lit(parts)) < at(lambda n: int(parts * min(1.0, sample / n)))).distinct()
+    return d.withColumn("fold", F.when(at(lambda n: int(n >= 10)) == 1, F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(10))).otherwise(1))
+
+
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Languages:
+    """Learns from the different texts with a language; one in ten of the sample is kept for calibration.
+
+    Sizes: ``sample`` texts per language bound the count table that reaches the driver.
+    """
+    d = cut_lineage(sampled(docs, text, lang, sample))
 
     def counted(batches):
         for b in batches:

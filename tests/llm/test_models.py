@@ -11,6 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from freshet.llm import arrays, factorisation, language, lattice, toxicity
 
@@ -156,3 +157,18 @@ def test_scores_match_brute_force(spark, head):
     by = {r.doc_id: r.score for r in got}
     assert by[60] == by[61]
     assert lattice.score(docs.limit(0), PIECES).count() == 0
+
+
+def test_copies_do_not_eat_the_language_sample(spark):
+    rng = np.random.default_rng(12)
+    text = lambda letters: " ".join("".join(rng.choice(list(letters), 6)) for _ in range(20))
+    schema = "doc_id long, text string, lang string"
+    rows = [(i, text("abcdef"), "aa") for i in range(100)] + [(1000 + i, text("uvwxyz"), "zz") for i in range(100)] + [(5000, text("klmnop"), "kk")]
+    hot = [spark.range(20_000).select("id", F.lit(text("abcdef")).alias("text"), F.lit("aa").alias("lang")) for _ in range(2)]
+    docs = spark.createDataFrame(rows, schema).union(hot[0]).union(hot[1])
+    got = language.sampled(docs, sample=50).toPandas()
+    assert set(got["lang"]) == {"aa", "kk", "zz"} and not got.duplicated(["lang", "text"]).any()
+    assert 20 <= (got["lang"] == "aa").sum() <= 80
+    found = language.fit(docs, sample=50)
+    assert found.names == ["aa", "kk", "zz"]
+    assert {r.doc_id: r.lang_pred for r in language.identify(spark.createDataFrame(rows, schema), found).collect()} == {i: k for i, _, k in rows}
