@@ -1,7 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on the windows that mark toxic text (found in many toxic
-and few ordinary texts of the sample) and one on ordinary windows. A window that the toxic dictionary
+Two zstandard dictionaries are trained, one on windows of toxic text and one on windows of ordinary text.
+The length of a window, and whether the toxic dictionary is made of all toxic windows or of the marking words alone (found in
+many toxic and few ordinary texts of the sample), are chosen by held-out loss. A window that the toxic dictionary
 compresses to fewer bytes than the ordinary one, by a calibrated threshold, counts as toxic; a logistic curve in that count and the text's
 length gives the score. Windows stand between two fixed strings that end both dictionaries: the
 compressor does not look for matches in the last bytes of its input.
@@ -21,16 +22,19 @@ from freshet.llm.common import whole_text
 
 #: Labelled texts per class in the sample, and their characters, at most (about).
 SAMPLE_TEXTS, SAMPLE_CHARS = 3000, 30_000_000
-WINDOW = 1
+#: Words of a window that are tried.
+WINDOWS = (1, 2, 4)
 DICTIONARY = 8192
-#: A marking window is in so many toxic texts and this share of them, and so many times more often than in ordinary ones.
+#: Windows that a dictionary is trained on, at most: an even spread over the texts.
+TRAINED = 400_000
+#: A marking word is in so many toxic texts (and, in the narrower rule, this share of them), and so many times more often than in ordinary ones.
 LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO = 8, 0.0125, 10
 FRAME = b" 0123456789abcdefghijklmnopqrstuvwxyz 9876543210zyxwvutsrqponmlkjihgfedcba "
 #: Windows whose distance a task remembers.
 REMEMBERED = 1_000_000
 
 
-def windows(text: str, words: int = WINDOW) -> list[bytes]:
+def windows(text: str, words: int = 1) -> list[bytes]:
     w = text.lower().encode("utf-8", "surrogatepass").split()
     if words == 1:
         return w
@@ -40,6 +44,8 @@ def windows(text: str, words: int = WINDOW) -> list[bytes]:
 def _dictionary(samples: list[bytes], size: int) -> bytes:
     """Trained on runs of six windows (shorter samples are ignored by the trainer); raw samples where there are too few to train on."""
     runs = [b" " + b" ".join(samples[i : i + 6]) + b" " for i in range(0, len(samples), 6)]
+    if len(samples) > TRAINED:
+        runs = [runs[i * len(samples) // TRAINED] for i in range(TRAINED // 6) if i * len(samples) // TRAINED < len(runs)]
     try:
         return zstandard.train_dictionary(size, runs, d=6, k=16).as_bytes()
     except zstandard.ZstdError:
@@ -79,13 +85,15 @@ class Distance:
 
 
 class Toxicity:
-    def __init__(self, distance: Distance, threshold: int, weights: np.ndarray):
-        self.distance, self.threshold, self.weights = distance, threshold, weights
+    def __init__(self, distance: Distance, threshold: int, weights: np.ndarray, words: int = 1, tried: list[dict] | None = None):
+        self.distance, self.threshold, self.weights, self.words = distance, threshold, weights, words
+        #: What was tried: words of a window, rule, held-out loss and recall.
+        self.tried = [] if tried is None else tried
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         n = np.zeros((len(texts), 2))
         for i, t in enumerate(texts):
-            d = self.distance.of(windows(t))
+            d = self.distance.of(windows(t, self.words))
             n[i] = (d >= self.threshold).sum(), len(d)
         return 1 / (1 + np.exp(-_inputs(n[:, 0], n[:, 1]) @ self.weights)), n[:, 0]
 
@@ -125,23 +133,36 @@ def fit(texts: pd.DataFrame) -> Toxicity | None:
     """From text, y (1 toxic): two thirds train the dictionaries, one third calibrates. None if a class is missing."""
     third = np.arange(len(texts)) % 3 == 2
     train, held = texts[~third], texts[third]
-    groups = {y: [windows(t) for t in train[train["y"] == y]["text"]] for y in (0, 1)}
-    if not groups[0] or not groups[1] or held["y"].nunique() < 2:
+    if set(train["y"]) != {0, 1} or held["y"].nunique() < 2:
         return None
+    y = held["y"].to_numpy(float)
+    best, tried = None, []
+    for words in WINDOWS:
+        groups = {k: [windows(t, words) for t in train[train["y"] == k]["text"]] for k in (0, 1)}
+        ordinary = _dictionary([w for doc in groups[0] for w in doc], DICTIONARY)
+        ways = {"all toxic text": [w for doc in groups[1] for w in doc]}
+        if words == 1:
+            ways |= {"marking words": _marks(groups, 0.0), "frequent marking words": _marks(groups, LEAST_SHARE)}
+        for rule, samples in ways.items():
+            distance = Distance(_dictionary(samples, DICTIONARY), ordinary)
+            found = [distance.of(windows(t, words)) for t in held["text"]]
+            of_rule = None
+            for threshold in range(1, 9):
+                x = _inputs(np.array([(d >= threshold).sum() for d in found], float), np.array([len(d) for d in found], float))
+                w, loss = _logistic(x, y, np.ones(len(y)))
+                if of_rule is None or loss < of_rule[0]:
+                    of_rule = loss, float((x @ w >= 0)[y == 1].mean()), Toxicity(distance, threshold, w, words, tried)
+            tried.append({"words": words, "rule": rule, "loss": of_rule[0], "recall": of_rule[1]})
+            if best is None or of_rule[0] < best[0]:
+                best = of_rule
+    return best[2]
+
+
+def _marks(groups: dict[int, list[list[bytes]]], share: float) -> list[bytes]:
     in_toxic, in_plain = (Counter(w for doc in groups[y] for w in set(doc)) for y in (1, 0))
     nt, n0 = len(groups[1]), len(groups[0])
-    marking = {w for w, n in in_toxic.items() if n >= max(LEAST_TEXTS, LEAST_SHARE * nt) and n / nt > LEAST_RATIO * (in_plain[w] + 1) / n0}
-    marks = [w for doc in groups[1] for w in doc if w in marking]
-    distance = Distance(_dictionary(marks, DICTIONARY), _dictionary([w for doc in groups[0] for w in doc][:400_000], DICTIONARY))
-    y = held["y"].to_numpy(float)
-    found = [distance.of(windows(t)) for t in held["text"]]
-    best = None
-    for threshold in range(1, 9):
-        x = _inputs(np.array([(d >= threshold).sum() for d in found], float), np.array([len(d) for d in found], float))
-        w, loss = _logistic(x, y, np.ones(len(y)))
-        if best is None or loss < best[0]:
-            best = loss, threshold, w
-    return Toxicity(distance, best[1], best[2])
+    marking = {w for w, n in in_toxic.items() if n >= max(LEAST_TEXTS, share * nt) and n / nt > LEAST_RATIO * (in_plain[w] + 1) / n0}
+    return [w for doc in groups[1] for w in doc if w in marking]
 
 
 def score(docs: DataFrame, model: Toxicity | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

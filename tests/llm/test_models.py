@@ -172,3 +172,29 @@ def test_copies_do_not_eat_the_language_sample(spark):
     found = language.fit(docs, sample=50)
     assert found.names == ["aa", "kk", "zz"]
     assert {r.doc_id: r.lang_pred for r in language.identify(spark.createDataFrame(rows, schema), found).collect()} == {i: k for i, _, k in rows}
+
+
+def test_rare_insults_are_found():
+    rng = random.Random(13)
+    insults = ["".join(rng.choice("bcdfgklmpqrvwxz") for _ in range(9)) for _ in range(100)]
+    common = ["the", "house", "river", "walked", "with", "green", "under", "morning", "over", "little", "garden", "stone"]
+
+    def texts(n, toxic):
+        out = []
+        for i in range(n):
+            w = [rng.choice(common) for _ in range(60)]
+            if i % 2:
+                at = rng.randrange(len(w))
+                w[at:at] = toxic()
+            out.append((" ".join(w), i % 2))
+        return pd.DataFrame(out, columns=["text", "y"])
+
+    def recall(toxic):
+        model, fresh = toxicity.fit(texts(3000, toxic)), texts(400, toxic)
+        said = model.score(fresh["text"].tolist())[0] >= 0.5
+        return said[fresh["y"] == 1].mean(), said[fresh["y"] == 0].mean(), model
+
+    # each insult is in one of a hundred toxic texts and in no ordinary one
+    right, wrong, model = recall(lambda: [rng.choice(insults)])
+    assert right > 0.9 and wrong < 0.1
+    assert {(t["words"], t["rule"]) for t in model.tried} >= {(1, "all toxic text"), (2, "all toxic text"), (4, "all toxic text"), (1, "frequent marking words")}
