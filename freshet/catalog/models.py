@@ -112,7 +112,7 @@ def _(t):
 @entry("candidate_selection", num="mae")
 def _(t):
     feats = Fr.feature_frame(stored_frame(t))
-    return Ln.select_candidate(feats, 1999, {"gbt": {}, "forest": {}})
+    return Ln.select_over_folds(feats, VAL_YEARS, {"gbt": {}, "forest": {}})
 
 
 @entry(

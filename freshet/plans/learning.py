@@ -24,10 +24,14 @@ from freshet.session import cut_lineage
 DISCHARGE = ("q", "q_lag1", "q_lag2", "dq", "dq_lag1", "qup", "dqup")
 
 
+#: Rounds and step of the reference's boosting; smaller tests may pass less.
+ROUNDS, STEP = 400, 0.05
+
+
 def learner(kind: str, **params):
     if kind == "gbt":
-        return GBTRegressor(featuresCol="features", labelCol="_y", seed=0, **{"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, **params})
-    return RandomForestRegressor(featuresCol="features", labelCol="_y", seed=0, **{"numTrees": 20, "maxDepth": 6, **params})
+        return GBTRegressor(featuresCol="features", labelCol="_y", seed=0, **{"maxIter": ROUNDS, "maxDepth": 4, "stepSize": STEP, **params})
+    return RandomForestRegressor(featuresCol="features", labelCol="_y", seed=0, **{"numTrees": ROUNDS, "maxDepth": 6, **params})
 
 
 def fit_predict(feats: DataFrame, cols: list[str], h: int, train_before: int, predict_year: int, kind: str, save_to: str | None = None, **params) -> DataFrame:
@@ -82,6 +86,22 @@ def select_candidate(feats: DataFrame, val_year: int, kinds: dict[str, dict]) ->
     return s.join(best, "basin").withColumn("inner_year", F.lit(inner))
 
 
+def select_over_folds(feats: DataFrame, val_years: list[int], kinds: dict[str, dict]) -> DataFrame:
+    """The inner choice before each fold, and the error of each learner in the fold's own season (fold_n, fold_mae).
+
+    ``gated`` is the choice before the first fold, which stays for all folds.
+    """
+    feats = cut_lineage(feats)
+    parts = []
+    for year in val_years:
+        rows = reduce(lambda a, b: a.unionByName(b), [walk_forward(feats, [year], (1,), kind, **params) for kind, params in kinds.items()])
+        s = A.error_metrics(rows, ["basin", "candidate"], "actual", "pred", "pers").select("basin", "candidate", F.col("n").alias("fold_n"), F.col("mae").alias("fold_mae"))
+        parts.append(s.join(select_candidate(feats, year, kinds), ["basin", "candidate"], "left").withColumn("val_year", F.lit(year)))
+    out = cut_lineage(reduce(lambda a, b: a.unionByName(b), parts))
+    first = out.groupBy("basin").agg(F.min_by("chosen", F.when(F.col("chosen").isNotNull(), F.col("val_year"))).alias("gated"))
+    return out.join(first, "basin", "left")
+
+
 def ablation(feats: DataFrame, extra: list[str], val_years: list[int], kind: str = "gbt", min_train: int = 60, min_test: int = 30, min_cover: float = 0.5, **params) -> DataFrame:
     """Error with and without extra columns against persistence per basin and fold.
 
