@@ -40,6 +40,14 @@ def text_key(text: Column) -> dict[str, Column]:
     return {"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit("second"), text)}
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it (case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def broadcast_within(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a written table for broadcast only if it has at most ``limit`` rows."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontaminate, factorisation, language, lattice, licenses, mixture, order_minhash, quality_rules, token_rollup, toxicity
-from freshet.llm.common import crc_fold, table
+from freshet.llm import conversation_repair, decontaminate, exact_radix, factorisation, fill_middle, language, lattice, licenses, mixture, order_minhash, quality_rules, token_rollup, toxicity
+from freshet.llm.common import crc_fold, table, whole_text
 from freshet.session import fresh_path
 
 #: Folder with the vocabulary files, the same on every executor.
@@ -68,5 +68,23 @@ def op10_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language, op3_toxicity, op4_near_duplicates, op5_quality, op6_mixture, op7_quality_rules, op8_token_rollup, op9_license_scan, op10_lattice_score)}
-ORACLES = {"op1_decontamination": decontaminate.SQL, "op6_mixture": mixture.SQL}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    harmed = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.digest(conversation_repair.repair(harmed, there=F.col("there")))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    output, back = F.col("fim.output"), fill_middle.restored(F.col("fim.output"), F.col("fim.form"))
+    sha = [F.sha2(c.cast("binary"), 256).alias(n) for n, c in (("output_sha256", output), ("restored_sha256", back))]
+    return made.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", *sha)
+
+
+def op13_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sha = F.sha2(whole_text("text").cast("binary"), 256)
+    found = exact_radix.label_copies(table(spark, sf_dir, "documents"), carry={"doc_id": F.col("doc_id"), "text_sha256": sha})
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language, op3_toxicity, op4_near_duplicates, op5_quality, op6_mixture, op7_quality_rules, op8_token_rollup, op9_license_scan, op10_lattice_score, op11_conversation_repair, op12_fill_in_middle, op13_exact_copies)}
+ORACLES = {"op1_decontamination": decontaminate.SQL, "op6_mixture": mixture.SQL, "op11_conversation_repair": conversation_repair.SQL, "op12_fill_in_middle": fill_middle.SQL, "op13_exact_copies": exact_radix.SQL}
