@@ -95,7 +95,9 @@ def _meet(cut: DataFrame, groups: DataFrame) -> DataFrame:
     on = ["group", "run"]
     hot = F.broadcast(groups.where(F.col("n") * HOT > shared))
     by_broadcast = cut.join(hot, on)
-    by_shuffle = cut.join(hot.select(*on), on, "left_anti").join(groups.where(F.col("n") * HOT <= shared), on, "left")
+    # always by a sort-merge join: the other groups grow with the input, so no size calls for another plan
+    others = groups.where(F.col("n") * HOT <= shared).hint("merge")
+    by_shuffle = cut.join(hot.select(*on), on, "left_anti").join(others, on, "left")
     return by_broadcast.unionByName(by_shuffle)
 
 
