@@ -6,6 +6,7 @@ from freshet.catalog.aggregates import SLOPES_SQL, THR_SQL
 from freshet.catalog.joins import FRAME_NUM, daily_frame, stored_frame
 from freshet.catalog.registry import entry
 from freshet.catalog.screens import VAL_YEARS
+from freshet.operators import aggregates as A
 from freshet.operators import joins as J
 from freshet.operators import windows as Wn
 from freshet.plans import baselines as B
@@ -109,10 +110,42 @@ def _(t):
     return B.season_scores(preds, B.fold_quantiles(f, ["basin"], "d", "q", VAL_YEARS))
 
 
-@entry("candidate_selection", num="mae")
+FEATURES_SQL = """feats AS (SELECT *, lead(q, 1) OVER w AS y_h1, lead(q, 2) OVER w AS y_h2, q + lag(q) OVER w + lag(q, 2) OVER w + rain_24h + rain_48h + rain_14d + rain_30d + lag(rain_24h) OVER w + qup + dqup
+         + 100 * (q - lag(q, 2) OVER w) / NULLIF(lag(q, 2) OVER w, 0) AS whole FROM frame WINDOW w AS (PARTITION BY basin ORDER BY d))"""
+
+
+@entry(
+    "gbt_fold_rows",
+    f"""WITH {FEATURES_SQL}, e AS (SELECT basin, f.y AS val_year, hh.h, CASE hh.h WHEN 1 THEN y_h1 ELSE y_h2 END AS y FROM feats, {FOLDS}, (VALUES (1), (2)) hh(h) WHERE whole IS NOT NULL AND year(d) < f.y)
+        SELECT basin, val_year, h, count(y) AS n_train, max(y) AS max_y FROM e GROUP BY 1, 2, 3 HAVING count(y) > 0""",
+    num="max_y",
+)
+def _(t):
+    feats = Fr.feature_frame(daily_frame(t))
+    return Ln.training_rows(feats, VAL_YEARS, (1, 2), Fr.feature_columns(feats)).groupBy(*Ln.KEYS).agg(F.count("y").alias("n_train"), F.max("y").alias("max_y")).filter("n_train > 0")
+
+
+def selection(t):
+    """Learners trained on the actual rain of the next day and asked with the one that was forecast."""
+    frame = stored_frame(t)
+    feats = Fr.feature_frame(frame)
+    actual = Ln.with_next_rain(feats, frame.select("basin", "d", F.col("rain_24h").alias("rain")))
+    forecast = Ln.with_next_rain(feats, issued(t).select("basin", "d", F.col("fc1").alias("rain")))
+    preds = B.predictions(frame, VAL_YEARS).filter("h = 1 AND candidate = 'lag_rule'").unionByName(B.forecast_rule(frame, issued(t), VAL_YEARS))
+    mae = A.error_metrics(preds, ["basin", "val_year", "candidate"], "actual", "pred", "pers")
+    of = lambda c: F.max(F.when(F.col("candidate") == c, F.col("mae"))).alias(f"{c}_mae")
+    rules = mae.groupBy("basin", "val_year").agg(of("lag_rule"), of("forecast_rule"))
+    return Ln.selection_wins(Ln.select_over_folds(actual, VAL_YEARS, operational=forecast), rules)
+
+
+@entry("candidate_selection", num="mae fold_mae bound_mae lag_rule_mae forecast_rule_mae")
+def _(t):
+    return selection(t)
+
+
+@entry("ship_rule_learned")
 def _(t):
-    feats = Fr.feature_frame(stored_frame(t))
-    return Ln.select_over_folds(feats, VAL_YEARS, {"gbt": {}, "forest": {}})
+    return Ln.ship_selected(selection(t))
 
 
 @entry(
@@ -200,14 +233,34 @@ def _(t):
     return Lg.event_study(Lg.event_lags(t.v2.withColumnRenamed("site", "basin"), rain, "rain"))
 
 
-@entry("feature_ablation", num="coverage persistence plain extra")
-def _(t):
+EXTRA = ["dam", "dam_lag1", "dam_chg"]
+
+
+def extra_features(t):
+    """Features with another site's level, which is missing on some days."""
     feats = Fr.feature_frame(daily_frame(t))
-    # another site's level as a report-row feature, missing on some days
     dam = Wn.row_lags(t.v2.filter("day(d) % 4 <> 0").select(((F.col("site") + 2) % 4).alias("basin"), "d", "q"), "basin", "d", "q", "dam")
-    extra = ["dam", "dam_lag1", "dam_chg"]
-    feats = feats.join(dam.select("basin", "d", *extra), ["basin", "d"], "left")
-    return Ln.ablation(feats, extra, VAL_YEARS)
+    return feats.join(dam.select("basin", "d", *EXTRA), ["basin", "d"], "left")
+
+
+@entry("feature_ablation", num="coverage persistence plain extra")
+def _(t):
+    return Ln.ablation(extra_features(t), EXTRA, VAL_YEARS)
+
+
+@entry(
+    "feature_ablation_folds",
+    f"""WITH {FEATURES_SQL}, dam AS (SELECT (site + 2) % 4 AS basin, d, q AS dam, lag(q) OVER w AS dam_lag1, q - lag(q) OVER w AS dam_chg FROM v2 WHERE day(d) % 4 <> 0 WINDOW w AS (PARTITION BY site ORDER BY d)),
+        x AS (SELECT basin, d, q, y_h1, (CAST(dam IS NOT NULL AS INT) + CAST(dam_lag1 IS NOT NULL AS INT) + CAST(dam_chg IS NOT NULL AS INT)) / 3.0::DOUBLE AS there FROM feats LEFT JOIN dam USING (basin, d) WHERE y_h1 IS NOT NULL),
+        tr AS (SELECT basin, f.y AS val_year, count(*) AS n_train FROM x, {FOLDS} WHERE year(d) < f.y GROUP BY 1, 2),
+        te AS (SELECT basin, year(d) AS val_year, count(*) AS n_test, avg(there) AS coverage, avg(abs(y_h1 - q)) AS persistence FROM x WHERE month(d) BETWEEN 6 AND 9 GROUP BY 1, 2),
+        j AS (SELECT b.basin, f.y AS val_year, COALESCE(n_train, 0) AS n_train, COALESCE(n_test, 0) AS n_test, coverage, persistence FROM (SELECT DISTINCT basin FROM feats) b CROSS JOIN {FOLDS}
+          LEFT JOIN tr ON tr.basin = b.basin AND tr.val_year = f.y LEFT JOIN te ON te.basin = b.basin AND te.val_year = f.y)
+        SELECT *, CASE WHEN n_train < 60 THEN 'few training rows' WHEN n_test < 30 OR COALESCE(coverage, 0) < 0.5 THEN 'thin coverage' END AS skipped FROM j""",
+    num="coverage persistence",
+)
+def _(t):
+    return Ln.ablation_folds(extra_features(t), EXTRA, VAL_YEARS)
 
 
 MARKS_SQL = "(SELECT site, CASE WHEN site <> 3 THEN 180.0 END AS thr FROM (SELECT DISTINCT site FROM v2))"
