@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from freshet.operators.joins import seasonal_band
+from freshet.operators.ranks import exact_quantiles, exceedance
+from freshet.session import cut_lineage
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -116,9 +118,8 @@ def pearson_pair(df: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
 
 
 def median_by(df: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), *[F.percentile(m, F.lit(0.5)).alias(f"median_{m}") for m in metrics]
-    )
+    """Rows and exact medians per group; a group may hold any number of rows."""
+    return exact_quantiles(cut_lineage(df.select(*keys, *metrics)), keys, {f"median_{m}": F.col(m) for m in metrics}, rows_as="n")
 
 
 def seasonal_percentile(
@@ -135,21 +136,8 @@ def seasonal_percentile(
 
 
 def residual_exceedance(preds: DataFrame, residuals: DataFrame, key: str, pred: str, residual: str, thresholds: dict[str, str]) -> DataFrame:
-    """P(pred + residual >= threshold) over a key's pooled held-out residuals.
-
-    A key's residuals are bounded by its held-out seasons; they travel as one array per key, so no
-    prediction-by-residual rows are formed.
-    """
-    pool = residuals.filter(F.col(residual).isNotNull()).groupBy(key).agg(F.collect_list(residual).alias("_res"))
-    j = preds.join(pool, key, "left")
-    probs = {
-        out: F.when(
-            F.col(pred).isNotNull() & (F.size("_res") > 0),
-            F.size(F.filter("_res", lambda r: F.col(pred) + r >= F.col(thr))) / F.size("_res"),
-        )
-        for out, thr in thresholds.items()
-    }
-    return j.withColumns(probs).drop("_res")
+    """P(pred + residual >= threshold) over a key's pooled held-out residuals, for predictions and residuals of any number."""
+    return exceedance(cut_lineage(preds), residuals, key, pred, residual, thresholds)
 
 
 def range_status(v: Column, n: Column, lo: Column, hi: Column, p1: Column, p99: Column) -> Column:
@@ -255,12 +243,12 @@ def model_vs_observed(df: DataFrame, keys: list[str], obs: str, mod: str, min_da
 
 
 def plausible_medians(scores: DataFrame, metrics: list[str]) -> DataFrame:
+    """Stations, how many are implausible, and medians over the others; there may be any number of stations."""
+    scores = cut_lineage(scores)
     ok = (F.col("status") == "ok") & ~F.col("implausible")
-    return scores.agg(
-        F.count(F.lit(1)).alias("n_stations"),
-        F.count_if(F.col("implausible")).alias("n_implausible"),
-        *[F.percentile(F.when(ok, F.col(m)), F.lit(0.5)).alias(f"median_{m}") for m in metrics],
-    )
+    medians = cut_lineage(exact_quantiles(scores, [], {f"median_{m}": F.when(ok, F.col(m)) for m in metrics}))
+    counts = scores.agg(F.count(F.lit(1)).alias("n_stations"), F.count_if(F.col("implausible")).alias("n_implausible"))
+    return counts.select("*", *[medians.select(c).scalar().alias(c) for c in medians.columns])
 
 
 def origin_slope(x: Column, y: Column) -> Column:

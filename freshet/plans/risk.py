@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions import scalars as S
+from freshet.operators.ranks import seasonal_shares
 from freshet.operators.spatial import idw, nearest_k
+from freshet.operators.windows import trailing_rank_every_day
 from freshet.session import cut_lineage
 
 
@@ -54,22 +56,40 @@ def classify(
     )
 
 
-def replay(places: DataFrame, rain_points: DataFrame, sums: DataFrame, river_points: DataFrame, shares: DataFrame, step_day, pid="pid", rid="rid") -> DataFrame:
+def replay_shares(near: DataFrame, history: DataFrame, key: str, day: str, value: str) -> DataFrame:
+    """(key, day, value, share, baseline) for every calendar day of ``near``; a missing day repeats the latest prior one.
+
+    The share is the seasonal one (the history's values within 15 days of the year at or below the day's value)
+    where the history has 60 values, else the one in the trailing 30 days: ``baseline`` tells which.
+    """
+    trailing = cut_lineage(trailing_rank_every_day(near, key, day, value))
+    seasonal = seasonal_shares(history, trailing, key, day, value).select(key, day, F.col("share").alias("_seasonal"))
+    both = trailing.join(seasonal, [key, day], "left")
+    baseline = F.when(F.col("_seasonal").isNotNull(), "seasonal").when(F.col("share").isNotNull(), "trailing")
+    return both.select(key, day, value, F.coalesce("_seasonal", "share").alias("share"), baseline.alias("baseline"))
+
+
+def replay(
+    places: DataFrame, rain_points: DataFrame, sums: DataFrame, river_points: DataFrame, shares: DataFrame, step_day, pid="pid", rid="rid", rounded: bool = False
+) -> DataFrame:
     """The rule at every step of a past window.
 
-    ``sums``: (pid, step, sum_24h, sum_48h); ``shares``: (rid, day, share). Work is per distinct
-    place coordinate, spread to the places at the end. ``step_day`` maps a step column to its day.
+    ``sums``: (pid, step, sum_24h, sum_48h); ``shares``: (rid, day, share, ...), whose other columns are passed on. Work is per distinct
+    place coordinate, spread to the places at the end. ``step_day`` maps a step column to its day. ``rounded``
+    scores sums of 0.1 mm and shares of three digits, as they are published.
     """
+    digits = (lambda c, n: F.round(c, n)) if rounded else (lambda c, n: c)
     spots = cut_lineage(places.select("lat", "lon").distinct())
     near = nearest_k(spots, rain_points, pid, k=2, distinct=True)
     w = F.lit(1.0) / F.greatest(F.col("km"), F.lit(1.0))
-    wet = near.withColumn("_w", w).join(sums, pid).groupBy("lat", "lon", "step").agg(
-        (F.sum(F.col("_w") * F.col("sum_24h")) / F.sum("_w")).alias("rain24"), (F.sum(F.col("_w") * F.col("sum_48h")) / F.sum("_w")).alias("rain48")
-    )
+    mean = lambda c: digits(F.sum(F.col("_w") * digits(F.col(c), 1)) / F.sum("_w"), 1)
+    wet = near.withColumn("_w", w).join(sums, pid).groupBy("lat", "lon", "step").agg(mean("sum_24h").alias("rain24"), mean("sum_48h").alias("rain48"))
     river = nearest_k(spots, river_points, rid, k=1, to=("rlat", "rlon"), distinct=True).select("lat", "lon", rid)
-    j = wet.withColumn("day", step_day(F.col("step"))).join(river, ["lat", "lon"]).join(shares, [rid, "day"])
+    kept = [c for c in shares.columns if c not in (rid, "day", "share")]
+    used = shares.withColumn("share", digits(F.col("share"), 3))
+    j = wet.withColumn("day", step_day(F.col("step"))).join(river, ["lat", "lon"]).join(used, [rid, "day"])
     total = S.rain_score(F.col("rain24"), F.col("rain48")) + S.discharge_score(F.col("share"))
-    scored = j.select("lat", "lon", "step", "rain24", "rain48", "share", S.risk_class(total).alias("risk"))
+    scored = j.select("lat", "lon", "step", "rain24", "rain48", "share", *kept, S.risk_class(total).alias("risk"))
     return places.select("id", "lat", "lon").join(scored, ["lat", "lon"]).drop("lat", "lon")
 
 
