@@ -100,6 +100,46 @@ def _(t):
     return t.spark.read.schema(rows.schema).parquet(out)
 
 
+def telemetry_files(t):
+    """Readings in folders of three layouts: as published, with odd letters and blanks in the header, and without a header."""
+    i = F.col("event_id") % 10
+    card = F.struct(
+        (24 + F.col("station") / 4).alias("Latitude"), F.when(F.col("station") == 5, 110.0).otherwise(90.0).alias("Longitude"), F.concat(F.lit("D"), F.col("station") % 3).alias("District")
+    )
+    cells = t.v1r.select("event_id", "station", card.alias("c"), F.when(i == 3, "soon").otherwise(F.date_format("ts", "dd-MM-yyyy HH:mm")).alias("at"), F.when(i != 4, F.col("value")).alias("v"))
+    head = {"plain": ["Station", "District", "Latitude", "Longitude", "Data Acquisition Time", "Rainfall (mm)"], "odd": [" station ", "DISTRICT", "latitude", "Longitude ", "data acquisition TIME", "Level"]}
+    # each layout in one file, so the accounts do not depend on how the rows were dealt out
+    paths = {}
+    for k, (name, titled) in enumerate((("plain", True), ("odd", True), ("bare", False))):
+        own = cells.filter(F.col("event_id") % 3 == k).select("station", "c.District", "c.Latitude", "c.Longitude", "at", "v")
+        paths[name] = f"{fresh_path(t.spark, 'telemetry')}/{name}"
+        keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        own.toDF(*head.get(name, head["plain"])).coalesce(1).write.options(header=titled, **keep).csv(paths[name])
+    return list(paths.values())
+
+
+@entry(
+    "telemetry_account",
+    """SELECT CASE event_id % 3 WHEN 0 THEN 'plain' WHEN 1 THEN 'odd' ELSE 'bare' END AS layout, count(*) AS n_rows, CASE WHEN event_id % 3 = 2 THEN 0 ELSE count(*) FILTER (event_id % 10 NOT IN (3, 4)) END AS kept,
+         CASE WHEN event_id % 3 = 2 THEN 0 ELSE count(*) FILTER (event_id % 10 = 3) END AS bad_time, CASE WHEN event_id % 3 = 2 THEN 0 ELSE count(*) FILTER (event_id % 10 = 4) END AS no_value,
+         CASE WHEN event_id % 3 = 2 THEN 'no header' END AS reason FROM v1r GROUP BY event_id % 3""",
+)
+def _(t):
+    account = P.telemetry_account(t.spark, telemetry_files(t))
+    return account.select(F.regexp_extract("file", "/([a-z]+)/[^/]*$", 1).alias("layout"), "n_rows", "kept", "bad_time", "no_value", "reason")
+
+
+@entry(
+    "telemetry_stations",
+    """SELECT CAST(station AS VARCHAR) AS station, 'D' || (station % 3) AS district, 24 + station / 4 AS lat, CASE WHEN station = 5 THEN 110.0 ELSE 90.0 END AS lon, count(*) AS n_rows,
+         min(date_trunc('minute', ts)) AS "first", max(date_trunc('minute', ts)) AS "last", station <> 5 AS position_trusted FROM v1r WHERE event_id % 10 NOT IN (3, 4) AND event_id % 3 < 2 GROUP BY station""",
+    num="lat lon",
+    text="first last",
+)
+def _(t):
+    return P.station_cards(P.read_telemetry(t.spark, telemetry_files(t), located=True), (20.0, 85.0, 500.0, 100.0))
+
+
 @entry(
     "ingest_station_marks",
     """SELECT name AS "Station", 'North, upper' AS "District", lat AS "Latitude", CASE WHEN id % 5 <> 0 THEN level END AS "WarningLevel" FROM v5v WHERE id % 9 <> 4""",

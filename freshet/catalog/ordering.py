@@ -42,6 +42,23 @@ def _(t):
     return P.union_parts(t.spark, [f"{root}/{y}" for y in range(1996, 2003)], t.v2.schema)
 
 
+@entry(
+    "union_partitions_account",
+    """SELECT y AS part, CASE WHEN y = 1998 THEN 2 WHEN y = 2000 THEN 0 ELSE 1 END AS n_files, CASE WHEN y IN (1996, 1998) THEN (SELECT count(*) FROM v2 WHERE year(d) = y) ELSE 0 END AS n_rows,
+         CASE y WHEN 1997 THEN 'unreadable' WHEN 1998 THEN 'unreadable' WHEN 2000 THEN 'missing' END AS lost FROM (VALUES (1996), (1997), (1998), (2000)) f(y)""",
+)
+def _(t):
+    root = fresh_path(t.spark, "parts")
+    # one part is whole, one is no table at all, one has a file that is none among its files, one is not there
+    for y in (1996, 1998):
+        t.v2.filter(F.year("d") == y).coalesce(1).write.parquet(f"{root}/{y}")
+    for y in (1997, 1998):
+        t.v2.filter(F.year("d") == y).select(F.col("d").cast("string")).coalesce(1).write.mode("append").text(f"{root}/{y}")
+    account = P.parts_account(t.spark, [f"{root}/{y}" for y in (1996, 1997, 1998, 2000)])
+    part = F.regexp_extract("path", "/([0-9]+)$", 1).cast("bigint")
+    return account.groupBy(part.alias("part")).agg(F.count("file").alias("n_files"), F.sum(F.coalesce("n_rows", F.lit(0))).alias("n_rows"), F.max("reason").alias("lost"))
+
+
 COVERED = ["ANAND", "EN", "TION"]
 
 

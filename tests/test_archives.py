@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -59,6 +60,32 @@ def test_unreadable_parts_are_left_out(spark, table):
     assert P.union_parts(spark, [f"{root}/q"], schema).count() == 0
 
 
+def test_every_lost_row_of_a_part_is_accounted_for(spark, tmp_path):
+    rng = random.Random(1)
+    for part in "abcd":
+        data = [(i, "".join(rng.choice("abcdefgh") for _ in range(40)), rng.random()) for i in range(4000)]
+        spark.createDataFrame(data, "k int, s string, v double").repartition(4).write.option("parquet.block.size", 4096).parquet(str(tmp_path / part))
+    files = {p: sorted((tmp_path / p).glob("*.parquet")) for p in "abcd"}
+    files["b"][1].write_bytes(files["b"][1].read_bytes()[:-30])
+    files["c"][2].write_bytes(b"")
+    # page headers are spoiled, the footer is whole
+    whole = bytearray(files["d"][0].read_bytes())
+    whole[4:2004] = bytes([255]) * 2000
+    files["d"][0].write_bytes(whole)
+    for crc in tmp_path.glob("*/.*.crc"):
+        crc.unlink()
+    paths = [str(tmp_path / p) for p in "abcde"]
+    account = P.parts_account(spark, paths).collect()
+    lost = {(r.path[-1], r.reason): r for r in P.skipped_parts(spark, paths).collect()}
+    assert set(lost) == {("b", "unreadable"), ("c", "empty"), ("d", "damaged"), ("e", "missing")}
+    assert lost["b", "unreadable"].file.endswith(files["b"][1].name) and lost["d", "damaged"].n_rows < 1000
+    assert len(account) == 17 and sum(r.reason is None for r in account) == 13
+    schema = spark.createDataFrame([], "k int, s string, v double").schema
+    assert P.union_parts(spark, paths, schema).count() >= 13_000
+    got = P.union_parts(spark, paths, schema).select(F.xxhash64("k", "s", "v").alias("h")).where("h IS NOT NULL").count()
+    assert got == sum(r.n_rows or 0 for r in account)
+
+
 def test_catalog(table):
     have = table("p int, year int, n_rows bigint", [(1, 2020, 366), (1, 2021, 300), (2, 2020, 359)])
     got = rows(P.catalog_diff(have, have.select("p").distinct(), "p", (2020, 2021)).select("p", "year", "n_rows", "expected"))

@@ -129,3 +129,20 @@ def test_telemetry_layouts_in_one_folder(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Station,Data Acquisition Time,Rain\nA,01-02-2024 05:00,1.5\n")
     (tmp_path / "b.csv").write_text('District,Station,Data Acquisition Time,Level\n"x, y",B,1-2-2024 6:00,2.5\n')
     assert sorted((r.station, r.value) for r in read_telemetry(spark, str(tmp_path)).collect()) == [("A", 1.5), ("B", 2.5)]
+
+
+def test_telemetry_headers_and_accounts(spark, tmp_path):
+    from freshet.sources import points as P
+
+    (tmp_path / "a.csv").write_text("Station,Data Acquisition Time,Rain\nA,01-02-2024 05:00,1.5\nA,soon,2\nA,01-02-2024 06:00,\n\n")
+    (tmp_path / "b.csv").write_text(' station , DISTRICT,"data acquisition time",latitude,Longitude,Level\nB,"x, y",1-2-2024 6:00,26.5,93.0,2.5\nB,z,1-2-2024 5:00,10,93,3\n')
+    (tmp_path / "c.csv").write_text("C,01-02-2024 05:00,9\n")
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv").write_text("Station,Data Acquisition Time,Rain\n")
+    path = str(tmp_path)
+    assert sorted((r.station, r.value) for r in P.read_telemetry(spark, path).collect()) == [("A", 1.5), ("B", 2.5), ("B", 3.0)]
+    got = {r.file[-5]: (r.n_rows, r.kept, r.bad_time, r.no_value, r.reason) for r in P.telemetry_account(spark, path).collect()}
+    assert got == {"a": (3, 1, 1, 1, None), "b": (2, 2, 0, 0, None), "c": (1, 0, 0, 0, "no header"), "d": (0, 0, 0, 0, "empty"), "e": (0, 0, 0, 0, "no rows")}
+    cards = {r.station: r for r in P.station_cards(P.read_telemetry(spark, path, located=True), (20.0, 85.0, 30.0, 100.0)).collect()}
+    assert (cards["B"].lat, cards["B"].district, cards["B"].n_rows, cards["B"].position_trusted) == (10.0, "z", 2, False)
+    assert cards["A"].lat is None and cards["A"].position_trusted is False
