@@ -81,10 +81,10 @@ def parts_account(spark: SparkSession, paths: list[str]) -> DataFrame:
             read = listed.select("file", F.lit(None).cast("bigint").alias("expected"), F.lit(None).cast("bigint").alias("n_rows")).limit(0)
         else:
             df = df.select("*", _one_form(F.col("_metadata.file_path")).alias("__file"))
-            # no column is read for the one count, every column for the other
+            # no column is read for the one count, every column for the other (JSON may be null, so it is made)
             by_footer = df.groupBy(F.col("__file").alias("file")).agg(F.count(F.lit(1)).alias("expected"))
-            values = [F.to_json(F.struct(F.col(f"`{c}`"))) for c in df.columns if c != "__file"]
-            decoded = df.select("__file", F.xxhash64(*values).alias("h")).groupBy(F.col("__file").alias("file")).agg(F.count("h").alias("n_rows"))
+            values = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "__file"]))
+            decoded = df.groupBy(F.col("__file").alias("file")).agg(F.count(values).alias("n_rows"))
             read = by_footer.join(decoded, "file", "left")
         j = listed.join(read, "file", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
         lost = F.when(F.col("bytes") == 0, "empty").when(F.col("expected").isNull(), "unreadable").when(F.col("n_rows") < F.col("expected"), "damaged")
