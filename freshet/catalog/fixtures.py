@@ -32,13 +32,12 @@ SPARK_VIEWS = {
         SELECT o_custkey % 6 AS point_id, CAST(o_orderdate AS DATE) AS d,
                floor(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 10000.0D * 64) / 64.0D AS mm
         FROM orders GROUP BY 1, 2""",
-    # issued forecasts with lead time
+    # issued forecasts with lead time, which may be negative: a target that was past when issued
     "v4": """
         SELECT l_suppkey % 4 AS site, CAST(o_orderdate AS DATE) AS issued,
                CAST(l_shipdate AS DATE) AS target, datediff(l_shipdate, o_orderdate) AS lead_d,
                l_quantity * 6 AS fc, l_orderkey, l_linenumber
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE datediff(l_shipdate, o_orderdate) BETWEEN 1 AND 192""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     # villages, rain points, river vertices
     "v5v": """
         SELECT c_custkey AS id, c_name AS name, c_nationkey AS district, c_acctbal AS level,
@@ -82,8 +81,7 @@ ORACLE_VIEWS = {
     "v4": """SELECT l_suppkey % 4 AS site, CAST(o_orderdate AS DATE) AS issued,
         CAST(l_shipdate AS DATE) AS target, date_diff('day', o_orderdate, l_shipdate) AS lead_d,
         l_quantity * 6 AS fc, l_orderkey, l_linenumber
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE date_diff('day', o_orderdate, l_shipdate) BETWEEN 1 AND 192""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "v5v": """SELECT c_custkey AS id, c_name AS name, c_nationkey AS district, c_acctbal AS level,
         24.0::DOUBLE + (c_custkey * 37 % 400) / 100.0::DOUBLE AS lat,
         90.0::DOUBLE + (c_custkey * 53 % 600) / 100.0::DOUBLE AS lon FROM customer""",

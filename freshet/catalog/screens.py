@@ -118,13 +118,13 @@ def _(t):
 
 @entry(
     "min_sample_gate",
-    """WITH p AS (SELECT v4.site, lead_d, fc, o.q AS obs, i.q AS pers FROM v4 LEFT JOIN v2 o ON o.site = v4.site AND o.d = target LEFT JOIN v2 i ON i.site = v4.site AND i.d = issued WHERE lead_d <= 7),
+    """WITH p AS (SELECT v4.site, lead_d, fc, o.q AS obs, i.q AS pers FROM v4 LEFT JOIN v2 o ON o.site = v4.site AND o.d = target LEFT JOIN v2 i ON i.site = v4.site AND i.d = issued WHERE lead_d BETWEEN 1 AND 7),
        s AS (SELECT site, lead_d, count(*) FILTER (obs IS NOT NULL AND pers IS NOT NULL) AS n, avg(abs(fc - obs)) FILTER (pers IS NOT NULL) AS mae, avg(fc - obs) FILTER (pers IS NOT NULL) AS bias FROM p GROUP BY 1, 2)
        SELECT site, lead_d, n, CASE WHEN n >= 7 THEN 'ok' ELSE 'insufficient' END AS status, CASE WHEN n >= 7 THEN mae END AS mae, CASE WHEN n >= 7 THEN bias END AS bias FROM s""",
     num="mae bias",
 )
 def _(t):
-    p = J.value_at(t.v4.filter("lead_d <= 7"), t.v2, "site", "d", "q", {"obs": "target", "pers": "issued"})
+    p = J.value_at(t.v4.filter("lead_d BETWEEN 1 AND 7"), t.v2, "site", "d", "q", {"obs": "target", "pers": "issued"})
     s = A.error_metrics(p, ["site", "lead_d"], "obs", "fc", "pers").select("site", "lead_d", "n", "mae", "bias")
     return A.gate(s, "n", 7, ["mae", "bias"])
 

@@ -61,7 +61,7 @@ def _(t):
 
 @entry(
     "stream_forecast_verify",
-    "SELECT l_orderkey, l_linenumber, v4.site, target, fc, fc - q AS error FROM v4 JOIN v2 ON v2.site = v4.site AND v2.d = target",
+    "SELECT l_orderkey, l_linenumber, v4.site, target, fc, fc - q AS error FROM v4 JOIN v2 ON v2.site = v4.site AND v2.d = target WHERE lead_d BETWEEN 0 AND 192",
     num="fc error",
     text="target",
 )

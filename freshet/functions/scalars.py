@@ -87,7 +87,7 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 
 
 # white space as Unicode has it
-BLANKS = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+BLANKS = "".join(chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 
 
 def fold_text(s: Column) -> Column:
@@ -96,8 +96,9 @@ def fold_text(s: Column) -> Column:
     long = s
     for c, flat in many.items():
         long = F.replace(long, F.lit(c), F.lit(flat))
-    t = F.when(s.rlike("[" + "".join(many) + "]"), long).otherwise(s)
-    return F.regexp_replace(F.translate(t, src, dst), f"^{BLANKS}|{BLANKS}$", "")
+    # a text without such letters, most of them, is not searched for each
+    has_many = F.length(F.translate(s, "".join(many), "")) < F.length(s)
+    return F.btrim(F.translate(F.when(has_many, long).otherwise(s), src, dst), F.lit(BLANKS))
 
 
 def cyclic_day_distance(a: Column, b: Column) -> Column:
