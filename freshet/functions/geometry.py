@@ -38,14 +38,15 @@ def cell_key(x: Column, size: float) -> Column:
     return F.floor(x / size).cast("bigint")
 
 
+def crosses(lon: Column, lat: Column, e: Column) -> Column:
+    """Whether a line to the east of a point crosses an edge struct (x1, y1, x2, y2)."""
+    at = (e["x2"] - e["x1"]) * (lat - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
+    return ((e["y1"] > lat) != (e["y2"] > lat)) & (lon < at)
+
+
 def inside_ring(lon: Column, lat: Column, edges: Column) -> Column:
     """Crossing parity over an array of edge structs (x1, y1, x2, y2)."""
-    crossed = F.filter(
-        edges,
-        lambda e: ((e["y1"] > lat) != (e["y2"] > lat))
-        & (lon < (e["x2"] - e["x1"]) * (lat - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]),
-    )
-    return F.size(crossed) % 2 == 1
+    return F.size(F.filter(edges, lambda e: crosses(lon, lat, e))) % 2 == 1
 
 
 def ring_edges(ring: Column) -> Column:

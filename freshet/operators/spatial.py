@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from freshet.functions import geometry as G
+from freshet.operators.boxtree import nearest_by_boxes
 from freshet.session import cut_lineage
 
 # degrees per cell; every size divides 360 so that longitude cells close around the globe
@@ -73,7 +74,7 @@ def nearest_k(
 
     Exact: at cell size s everything within s degrees lies in the 3 x 3 neighbourhood, so a place
     is decided once its k-th neighbour is nearer than that; the undecided rest moves to the next
-    level, the last of which has one cell. ``box`` limits neighbours to +-box degrees (a place
+    level, and what is left after the last one searches a tree of boxes (``boxtree``). ``box`` limits neighbours to +-box degrees (a place
     with none is absent). Equal distances (to a millimetre) go to the smaller id. ``planar``
     measures in degrees instead of km. Each level is written to the shared folder. ``distinct``
     says that ``left`` is already a table of distinct places.
@@ -96,12 +97,13 @@ def nearest_k(
     for size in sizes:
         last = size is box
         if size is None:
-            near = todo.withColumn("_all", F.lit(0)).join(points.withColumn("_all", F.lit(0)), [*keys, "_all"])
+            near = nearest_by_boxes(todo, points, pid, k, keys, at, to, gap, planar)
         else:
             near = _cells_around(todo, lat, lon, size).join(_cell(points, plat, plon, size), [*keys, "_cy", "_cx"])
         if box is not None and last:
             near = near.filter((F.abs(a - b) <= box) & (F.abs(F.col(lon) - F.col(plon)) <= box))
-        near = near.select(*place, pid, gap.alias("km")).withColumn("_rank", G.distance_rank(F.col("km")))
+        near = near if size is None else near.select(*place, pid, gap.alias("km"))
+        near = near.withColumn("_rank", G.distance_rank(F.col("km")))
         best = cut_lineage(_rank_k(near, place, pid, k).drop("_rank"))
         if last:
             return best if done is None else done.unionByName(best)
@@ -133,22 +135,45 @@ def idw(left: DataFrame, lid: str, neighbours: DataFrame, signals: DataFrame, pi
     return left.select(lid, "lat", "lon").join(spots, ["lat", "lon"]).select(lid, *values)
 
 
+def banded_edges(polygons: DataFrame, poly: str) -> tuple[DataFrame, DataFrame]:
+    """Edges of all rings by latitude band: (poly, _band, _part, _ring, x1, y1, x2, y2), and the height of each polygon's bands.
+
+    Ring -1 is the outer one of its part. Bands are so high that all edges of a polygon lie in about four times as
+    many bands as there are edges, however long some of them are. Level edges are never crossed and left out.
+    """
+    parts = polygons.select(poly, F.posexplode("parts").alias("_part", "_p"))
+    outer = parts.select(poly, "_part", F.lit(-1).alias("_ring"), F.col("_p.outer").alias("_e"))
+    holes = parts.select(poly, "_part", F.posexplode("_p.holes").alias("_ring", "_e"))
+    edges = cut_lineage(outer.unionByName(holes).select(poly, "_part", "_ring", F.inline("_e")).filter("y1 <> y2"))
+    heights = edges.groupBy(poly).agg((F.sum(F.abs(F.col("y2") - F.col("y1"))) / (3 * F.count(F.lit(1)))).alias("_high"))
+    band = lambda y: F.floor(y / F.col("_high"))
+    bands = F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))
+    return edges.join(heights, poly).withColumn("_band", F.explode(bands)).drop("_high"), heights
+
+
 def inside_polygons(points: DataFrame, polygons: DataFrame, pid: str, poly: str, cell: float = 0.5) -> DataFrame:
     """Points within each polygon's box as (point, polygon, in_water).
 
     ``polygons`` has the box (south, west, north, east) and ``parts``: an array of
     (outer: edges, holes: array of edges), edges being arrays of (x1, y1, x2, y2). A point is inside
     when some part's outer ring holds it and none of that part's holes does.
+
+    Boxes and points meet in grid cells without the rings. A spot then meets the edges of its own latitude band, and
+    crossings are counted per ring: a ring of any number of edges is spread over its bands.
     """
     span = lambda lo, hi: F.sequence(G.cell_key(F.col(lo), cell), G.cell_key(F.col(hi), cell))
-    cover = polygons.withColumn("_cy", F.explode(span("south", "north"))).withColumn("_cx", F.explode(span("west", "east")))
-    pts = points.select(pid, "lat", "lon").withColumn("_cy", G.cell_key(F.col("lat"), cell)).withColumn("_cx", G.cell_key(F.col("lon"), cell))
+    cover = polygons.select(poly, "south", "west", "north", "east").withColumn("_cy", F.explode(span("south", "north"))).withColumn("_cx", F.explode(span("west", "east")))
     lon, lat = F.col("lon"), F.col("lat")
-    hit = F.exists(
-        "parts", lambda p: G.inside_ring(lon, lat, p["outer"]) & ~F.exists(p["holes"], lambda h: G.inside_ring(lon, lat, h))
-    )
-    seen = pts.join(cover, ["_cy", "_cx"]).filter(lat.between(F.col("south"), F.col("north")) & lon.between(F.col("west"), F.col("east")))
-    return seen.select(pid, poly, hit.alias("in_water"))
+    spots = points.select("lat", "lon").distinct().withColumn("_cy", G.cell_key(lat, cell)).withColumn("_cx", G.cell_key(lon, cell))
+    seen = spots.join(cover, ["_cy", "_cx"]).filter(lat.between(F.col("south"), F.col("north")) & lon.between(F.col("west"), F.col("east")))
+    seen = cut_lineage(seen.select("lat", "lon", poly))
+    edges, heights = banded_edges(polygons, poly)
+    met = seen.join(heights, poly).withColumn("_band", F.floor(lat / F.col("_high"))).join(edges, [poly, "_band"])
+    crossed = met.filter(G.crosses(lon, lat, F.struct("x1", "y1", "x2", "y2"))).groupBy("lat", "lon", poly, "_part", "_ring").agg(F.count(F.lit(1)).alias("_n"))
+    rings = crossed.filter("_n % 2 = 1").groupBy("lat", "lon", poly, "_part").agg(F.bool_or(F.col("_ring") < 0).alias("_in"), F.bool_or(F.col("_ring") >= 0).alias("_hole"))
+    inside = rings.filter("_in AND NOT _hole").select("lat", "lon", poly).distinct().withColumn("_in", F.lit(True))
+    state = seen.join(inside, ["lat", "lon", poly], "left").select("lat", "lon", poly, F.coalesce("_in", F.lit(False)).alias("in_water"))
+    return points.select(pid, "lat", "lon").join(state, ["lat", "lon"]).select(pid, poly, "in_water")
 
 
 def collision_guard(df: DataFrame, order: str, flat: str = "flat", flon: str = "flon", digits: int = 5) -> DataFrame:

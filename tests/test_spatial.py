@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from freshet.functions import geometry as G
+from freshet.operators import boxtree as BT
 from freshet.operators import raster as X
 from freshet.operators import spatial as P
 
@@ -49,6 +50,35 @@ def test_fewer_points_than_asked(table):
     assert got == {(0.0, 0.0): [7], (50.0, 100.0): [7]}
 
 
+@pytest.mark.parametrize(("leaf", "fan", "planar"), [(1, 2, False), (4, 3, False), (4, 3, True), (128, 32, True)])
+def test_boxes_hold_the_nearest_of_far_places(spark, table, monkeypatch, leaf, fan, planar):
+    rng = random.Random(leaf)
+    spots = [(rng.choice([10, -40, 70]) + rng.gauss(0, 3), rng.choice([20, 179, -120]) + rng.gauss(0, 3)) for _ in range(150)]
+    spots += [(5.0, 5.0)] * 4 + [(89.9, 0.0), (-89.9, 100.0)]
+    right = [(("hot", "b", "few")[0 if i % 4 else 1 + (i % 8 == 0)], i, y, (x + 180) % 360 - 180) for i, (y, x) in enumerate(spots)]
+    right = [r for r in right if r[0] != "few" or r[1] < 20] + [("b", 900, None, 1.0)]
+    left = [(t, rng.uniform(-89, 89), rng.uniform(-180, 180)) for t in ("hot", "hot", "b", "few", "none") for _ in range(12)] + [("hot", 5.0, 5.0), ("b", 90.0, 0.0), ("b", 0.0, -180.0)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    a, b = F.col("lat"), F.col("plat")
+    gap = F.sqrt(F.pow(a - b, 2) + F.pow(F.col("lon") - F.col("plon"), 2)) if planar else G.haversine_km(a, F.col("lon"), b, F.col("plon"))
+    far = (lambda y, x, v, u: math.hypot(y - v, x - u)) if planar else km
+    for keys in (["t"], []):
+        lt = table("t string, lat double, lon double", left).select(*keys, "lat", "lon").distinct()
+        rt = table("t string, pid int, plat double, plon double", right).select(*keys, "pid", "plat", "plon")
+        near = BT.nearest_by_boxes(lt, rt, "pid", 3, keys, ("lat", "lon"), ("plat", "plon"), gap, planar, leaf, fan)
+        got = {}
+        for r in near.collect():
+            got.setdefault((r["t"] if keys else None, r["lat"], r["lon"]), []).append((math.floor(r["km"] * 1e6), r["pid"]))
+        for t, y, x in left:
+            own = sorted((math.floor(far(y, x, v, u) * 1e6), i) for s, i, v, u in right if v is not None and (s == t or not keys))[:3]
+            have = sorted(got.get((t if keys else None, y, x), []))[:3]
+            assert [i for _, i in have] == [i for _, i in own] or [d for d, _ in have] == pytest.approx([d for d, _ in own], abs=2)
+        if leaf < 128 and keys:
+            # most points are never looked at
+            assert sum(map(len, got.values())) < 0.7 * sum(sum(s == t and v is not None for s, _, v, _ in right) for t, _, _ in left)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_box_leaves_far_places_out(table):
     rng = random.Random(9)
     right = [(i, rng.uniform(0, 2), rng.uniform(0, 2)) for i in range(40)]
@@ -83,6 +113,42 @@ def test_holes_parts_and_boxes(table):
     assert got == {1: True, 2: False, 3: True, 4: False, 6: True, 7: False}
 
 
+def test_rings_of_many_edges(spark, table):
+    rng = random.Random(6)
+
+    def star(cx, cy, n, r):
+        out = [(cx + r * rng.uniform(0.3, 1) * math.cos(2 * math.pi * i / n), cy + r * rng.uniform(0.3, 1) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+        return [(round(x, 2), round(y, 2)) for x, y in out]
+
+    def edges(ring):
+        return [(*a, *b) for a, b in zip(ring, ring[1:] + ring[:1], strict=True)]
+
+    tall = [(20 + (i % 2) * 0.5 + i / 100, -5.0 + 10.0 * (i % 2)) for i in range(101)]
+    polys = [(1, [(star(0, 0, 300, 4), [star(0.5, 0.5, 40, 0.5), star(-1, 0, 30, 0.4)]), (star(9, 0, 50, 2), [])]), (2, [(tall, [])]), (3, [(star(1, 1, 3, 5), [])])]
+    rows_ = []
+    for i, parts in polys:
+        xy = [p for o, _ in parts for p in o]
+        rows_.append((i, min(y for _, y in xy), min(x for x, _ in xy), max(y for _, y in xy), max(x for x, _ in xy), [(edges(o), [edges(h) for h in hs]) for o, hs in parts]))
+    edge = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+    df = table(f"poly int, south double, west double, north double, east double, parts array<struct<outer:{edge},holes:array<{edge}>>>", rows_)
+    pts = [(i, round(rng.uniform(-6, 6), 2), round(rng.uniform(-6, 25), 2)) for i in range(700)]
+    pts += [(1000 + i, y, x) for i, (x, y) in enumerate(p for _, parts in polys for o, _ in parts for p in o[:20])] + [(2000, *pts[0][1:])]
+
+    def inside(x, y, ring):
+        return sum((y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 for x1, y1, x2, y2 in edges(ring)) % 2 == 1
+
+    want = {}
+    for (i, parts), (_, south, west, north, east, _) in zip(polys, rows_, strict=True):
+        for p, y, x in pts:
+            if south <= y <= north and west <= x <= east:
+                want[p, i] = any(inside(x, y, o) and not any(inside(x, y, h) for h in hs) for o, hs in parts)
+    got = {(r.id, r.poly): r.in_water for r in P.inside_polygons(table("id int, lat double, lon double", pts), df, "id", "poly").collect()}
+    assert got == want and set(want.values()) == {True, False}
+    laid, _ = P.banded_edges(df, "poly")
+    for i, parts in polys:
+        assert laid.where(F.col("poly") == i).count() <= 5 * sum(len(o) + sum(map(len, hs)) for o, hs in parts)
+
+
 def test_collision_keeps_the_first(table):
     df = table("id int, lat double, lon double, flat double, flon double", [(2, 1.0, 1.0, 9.0, 9.0), (1, 1.000001, 1.0, 8.0, 8.0), (3, 2.0, 1.0, 7.0, 7.0)])
     got = {r["id"]: (r["lat"], r["precision"]) for r in P.collision_guard(df, "id").collect()}
