@@ -314,6 +314,15 @@ def merge_sides(t):
 KEYS, ORDER = ["site", "issued", "target"], ["l_orderkey", "l_linenumber", "fc"]
 
 
+def merged(t, keep):
+    """An archive by year of issue after two batches, the second one sent twice."""
+    old, new = merge_sides(t)
+    archive = Ar.Archive(t.spark, fresh_path(t.spark, "archive"), old.schema, KEYS, ORDER, F.year("issued"), keep)
+    for name, batch in (("old", old), ("new", new), ("new", new)):
+        archive.merge(batch, name)
+    return archive.read()
+
+
 @entry(
     "merge_archive_keep_last",
     f"""WITH {MERGE_SQL} SELECT site, issued, target, fc, l_orderkey, l_linenumber FROM u
@@ -322,9 +331,7 @@ KEYS, ORDER = ["site", "issued", "target"], ["l_orderkey", "l_linenumber", "fc"]
     text="issued target",
 )
 def _(t):
-    old, new = merge_sides(t)
-    archive = Ar.write_snapshot(old, fresh_path(t.spark, "archive"))
-    return Ar.write_snapshot(Ar.merge_keep_last(archive, new, KEYS, ORDER), fresh_path(t.spark, "archive"))
+    return merged(t, "last")
 
 
 @entry(
@@ -335,7 +342,7 @@ def _(t):
     text="issued target",
 )
 def _(t):
-    return Ar.merge_keep_first(*merge_sides(t), KEYS, ORDER)
+    return merged(t, "first")
 
 
 @entry(
@@ -348,7 +355,10 @@ def _(t):
 def _(t):
     new = merge_sides(t)[1].drop("target")
     nothing = t.spark.createDataFrame([], new.schema)
-    return Ar.merge_keep_last(Ar.merge_keep_last(nothing, new, ["site", "issued"], ORDER), nothing, ["site", "issued"], ORDER)
+    archive = Ar.Archive(t.spark, fresh_path(t.spark, "archive"), new.schema, ["site", "issued"], ORDER, F.year("issued"))
+    for name, batch in (("empty", nothing), ("new", new), ("again empty", nothing)):
+        archive.merge(batch, name)
+    return archive.read()
 
 
 @entry(

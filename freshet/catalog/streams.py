@@ -94,5 +94,5 @@ def _(t):
     alerts = e.select("event_id", (F.col("user_id") % 8).alias("station"), (F.col("value") + F.col("event_id") % 500).alias("expires"))
     # an alert re-sent with another expiry does not replace the archived one
     resent = alerts.withColumn("expires", F.col("expires") + 1000)
-    folder = Jb.alert_archive(alerts.unionByName(resent), "event_id", ["expires"])
-    return Jb.active_alerts(t.spark.read.schema(alerts.schema).parquet(folder), "expires", F.lit(300.0), ["event_id"])
+    archive = Jb.alert_archive(alerts.unionByName(resent), "event_id", ["expires"])
+    return Jb.active_alerts(archive.read(), "expires", F.lit(300.0), ["event_id"])

@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from freshet.operators.archive_rows import oldest
 from freshet.operators.ordering import active_sorted
 from freshet.operators.windows import runs_above
 from freshet.session import fresh_path
-from freshet.sources.archive import merge_keep_first
+from freshet.sources.archive import Archive
 from freshet.streaming.runs import LATENESS, drain_batches
 
 
@@ -137,27 +136,17 @@ def carry_forward(estimates: DataFrame) -> DataFrame:
     return estimates.groupBy("village").applyInPandasWithState(_carry, CARRY_OUTPUT, CARRY_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def alert_archive(alerts: DataFrame, key: str, order: list[str], root: str | None = None, checkpoint: str | None = None) -> str:
-    """Merge each batch of alerts into an immutable archive; returns the folder of the last snapshot.
+def alert_archive(alerts: DataFrame, key: str, order: list[str], root: str | None = None, checkpoint: str | None = None, buckets: int = 64) -> Archive:
+    """Merge each batch of alerts into an immutable archive (what is archived stays).
 
-    A batch reads the snapshot before it and writes its own, so a repeated batch gives the same
-    result. Pass ``root`` and ``checkpoint`` again to go on from an earlier run.
+    The archive lies in buckets of the key: a batch reads those of its own keys and adds what is new, and is known by its id when
+    it is repeated. Pass ``root`` and ``checkpoint`` again to go on from an earlier run.
     """
     spark = alerts.sparkSession
     root = root or fresh_path(spark, "alerts")
-    schema = alerts.schema
-    last: list[int] = []
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        new = oldest(batch, [key], order)
-        if batch_id > 0:
-            new = merge_keep_first(session.read.schema(schema).parquet(f"{root}/{batch_id - 1}"), new, [key], order)
-        new.write.mode("overwrite").parquet(f"{root}/{batch_id}")
-        last.append(batch_id)
-
-    drain_batches(alerts, "alerts", merge, checkpoint)
-    return f"{root}/{max(last)}" if last else root
+    archive = Archive(spark, root, alerts.schema, [key], order, F.pmod(F.xxhash64(key), F.lit(buckets)), keep="first")
+    drain_batches(alerts, "alerts", lambda batch, batch_id: archive.merge(batch, f"batch-{batch_id}"), checkpoint)
+    return archive
 
 
 def active_alerts(archive: DataFrame, expires: str, now: Column, newest_first: list[str]) -> DataFrame:

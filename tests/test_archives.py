@@ -86,6 +86,41 @@ def test_every_lost_row_of_a_part_is_accounted_for(spark, tmp_path):
     assert got == sum(r.n_rows or 0 for r in account)
 
 
+def test_archive_rewrites_only_the_parts_of_a_batch(spark, table):
+    schema = "day date, k int, v int"
+    day = lambda y, i: dt.date(y, 1, i)
+    a = Ar.Archive(spark, fresh_path(spark, "archive"), table(schema, []).schema, ["day", "k"], ["v"], F.year("day"))
+    assert a.version() == 0 and rows(a.read()) == []
+    assert a.merge(table(schema, [(day(2020, 1), 1, 1), (day(2020, 2), 1, 2), (day(2021, 1), 1, 3), (None, 5, 5), (day(2021, 1), 1, 2)]), "one") == 1
+    first = {r.part: r.folder for r in a.live().collect()}
+    assert set(first) == {"2020", "2021", "none"}
+    assert a.merge(table(schema, [(day(2021, 1), 1, 30), (day(2022, 1), 1, 4), (None, 5, 50)]), "two") == 2
+    second = {r.part: r.folder for r in a.live().collect()}
+    assert second["2020"] == first["2020"] and second["2021"] != first["2021"] and set(second) == {"2020", "2021", "2022", "none"}
+    now = [(None, 5, 50), (day(2020, 1), 1, 1), (day(2020, 2), 1, 2), (day(2021, 1), 1, 30), (day(2022, 1), 1, 4)]
+    assert rows(a.read()) == now
+    # an older version is still whole
+    assert rows(a.read(1)) == [(None, 5, 5), (day(2020, 1), 1, 1), (day(2020, 2), 1, 2), (day(2021, 1), 1, 3)]
+    # a repeated batch is known, an empty one changes no row
+    assert a.merge(table(schema, [(day(2020, 1), 1, 99)]), "two") == 2 and a.merge(table(schema, []), "nothing") == 3
+    # a merge that was cut off before its log row leaves folders that nobody reads
+    table(schema, [(day(2020, 1), 1, 77)]).withColumn(Ar.PART, F.lit("2020")).write.partitionBy(Ar.PART).parquet(f"{a.root}/data/lost")
+    assert rows(a.read()) == now
+
+
+def test_immutable_archive_adds_only_new_keys(spark, table):
+    schema = "k int, part string, v int"
+    a = Ar.Archive(spark, fresh_path(spark, "archive"), table(schema, []).schema, ["k"], ["v"], F.col("k") % 2, keep="first")
+    a.merge(table(schema, [(1, "x", 5), (1, "x", 4), (2, "y", 6)]), "one")
+    a.merge(table(schema, [(1, "x", 0), (3, "x", 7), (None, "z", 8)]), "two")
+    a.merge(table(schema, [(None, "z", 1), (3, "x", 0)]), "three")
+    assert rows(a.read()) == [(None, "z", 8), (1, "x", 4), (2, "y", 6), (3, "x", 7)]
+    # what is there is not written again
+    folders = [r.folder for r in a.live().where("part = '1'").collect()]
+    assert len(folders) == 2 and spark.read.option("recursiveFileLookup", "true").parquet(*[f"{a.root}/data/{f}" for f in folders]).count() == 4
+    assert rows(a.read(1)) == [(1, "x", 4), (2, "y", 6)]
+
+
 def test_catalog(table):
     have = table("p int, year int, n_rows bigint", [(1, 2020, 366), (1, 2021, 300), (2, 2020, 359)])
     got = rows(P.catalog_diff(have, have.select("p").distinct(), "p", (2020, 2021)).select("p", "year", "n_rows", "expected"))

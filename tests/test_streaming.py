@@ -51,8 +51,10 @@ def test_alerts_keep_their_first_version_over_batches(spark, table):
     for part in ([(1, 5.0), (2, 9.0)], [(1, 99.0), (3, 7.0)]):
         table(schema, part).coalesce(1).write.mode("append").parquet(inbox)
     stream = file_stream(spark, inbox, table(schema, []).schema, files_per_batch=1)
-    folder = Jb.alert_archive(stream, "id", ["expires"])
-    archive = spark.read.parquet(folder)
+    kept = Jb.alert_archive(stream, "id", ["expires"])
+    archive = kept.read()
+    # each batch is one merge
+    assert kept.version() == 2
     assert rows(archive) == [(1, 5.0), (2, 9.0), (3, 7.0)]
     assert [r["id"] for r in Jb.active_alerts(archive, "expires", F.lit(6.0), ["id"]).collect()] == [3, 2]
 
