@@ -231,8 +231,7 @@ def _(t):
     "basis_sentence",
     f"""SELECT id, CASE id % 3 WHEN 0 THEN '{S.SENTENCE_RED.replace("%s", "' || name || '")}'
         WHEN 1 THEN '{S.SENTENCE_YELLOW.replace("%s", "' || name || '")}'
-        ELSE 'A tested river model expects the ' || name || ' near here to stay in its normal range through tomorrow (river currently '
-             || CASE id % 2 WHEN 0 THEN 'rising' ELSE 'steady' END || ').' END AS basis FROM v5v""",
+        ELSE '{S.SENTENCE_GREEN.replace("%s", "' || name || '", 1).replace("%s", "' || CASE id % 2 WHEN 0 THEN 'rising' ELSE 'steady' END || '")}' END AS basis FROM v5v""",
 )
 def _(t):
     i = F.col("id")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions import geometry as G
 from freshet.operators.boxtree import nearest_by_boxes
-from freshet.session import cut_lineage
+from freshet.session import cut_lineage, fresh_path
 
 # degrees per cell; every size divides 360 so that longitude cells close around the globe
 LEVELS = (0.01, 0.05, 0.2, 0.5, 1.0, 2.0, 4.0, 20.0)
@@ -219,11 +219,15 @@ def best_scene(events: DataFrame, scenes: DataFrame, event: str, scene: str) ->
     return best.filter(F.col("full") | (F.col("overlap") >= 0.02 * 0.02))
 
 
+# fixed values: sampled longitudes and latitudes of an area, longitudes of the second pass, inset and least side in degrees
+LATTICE_LON, LATTICE_LAT, LATTICE_INNER, INSET, LEAST_SIDE = 120, 60, 60, 0.01, 0.05
+
+
 def _lattice(lo: Column, hi: Column, n: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: lo + (hi - lo) * i / (n - 1))
 
 
-def clip_to_footprint(events: DataFrame, event: str, nx: int = 120, ny: int = 60, inset: float = 0.01) -> DataFrame:
+def clip_to_footprint(events: DataFrame, event: str, nx: int = LATTICE_LON, ny: int = LATTICE_LAT, inset: float = INSET) -> DataFrame:
     """Largest sampled box of each event's area that lies inside its scene footprint (``edges``).
 
     West and east are the tightest inside-spans over sampled latitudes, then south and north over
@@ -242,7 +246,7 @@ def clip_to_footprint(events: DataFrame, event: str, nx: int = 120, ny: int = 60
         .withColumn("c_west", F.greatest("west", "_w"))
         .withColumn("c_east", F.least("east", "_e"))
     )
-    cols = e.filter("c_east > c_west").withColumn("_lon", F.explode(_lattice(F.col("c_west"), F.col("c_east"), 60)))
+    cols = e.filter("c_east > c_west").withColumn("_lon", F.explode(_lattice(F.col("c_west"), F.col("c_east"), LATTICE_INNER)))
     ins = F.filter("_lats", lambda y: G.inside_ring(F.col("_lon"), y, F.col("edges")))
     spans = cols.withColumn("_ins", ins).groupBy(event).agg(
         F.max(F.array_min("_ins")).alias("_s"), F.min(F.array_max("_ins")).alias("_n")
@@ -252,7 +256,7 @@ def clip_to_footprint(events: DataFrame, event: str, nx: int = 120, ny: int = 60
     south = F.greatest("south", "_s") + inset
     north = F.least("north", "_n") - inset
     box = box.select(event, "edges", west.alias("west"), south.alias("south"), east.alias("east"), north.alias("north"))
-    ok = (F.col("east") - F.col("west") >= 0.05) & (F.col("north") - F.col("south") >= 0.05)
+    ok = (F.col("east") - F.col("west") >= LEAST_SIDE) & (F.col("north") - F.col("south") >= LEAST_SIDE)
     for x, y in (("west", "south"), ("east", "south"), ("east", "north"), ("west", "north")):
         ok = ok & G.inside_ring(F.col(x), F.col(y), F.col("edges"))
     return box.filter(ok).drop("edges")
@@ -327,13 +331,14 @@ def distinct_cells(cands: DataFrame, order: str, tol: float = 0.001) -> DataFram
     close = (F.abs(F.col("lat") - F.col("_la")) < tol) & (F.abs(F.col("lon") - F.col("_lo")) < tol) & (F.col("_earlier") < F.col(order))
     edges = cut_lineage(b.join(c, ["_cy", "_cx"]).filter(close).select(order, "_earlier").distinct())
     open_ = a.select(order)
-    kept = None
+    # every round adds its rows to one table
+    kept = fresh_path(cands.sparkSession, "kept")
     while True:
         waiting = edges.join(open_.withColumnRenamed(order, "_earlier"), "_earlier", "left_semi")
         now = cut_lineage(open_.join(waiting, order, "left_anti"))
-        kept = now if kept is None else kept.unionByName(now)
+        now.write.mode("append").parquet(kept)
         gone = edges.join(now.withColumnRenamed(order, "_earlier"), "_earlier", "left_semi").select(order).distinct()
         open_ = cut_lineage(open_.join(now, order, "left_anti").join(gone, order, "left_anti"))
         edges = edges.join(gone.withColumnRenamed(order, "_earlier"), "_earlier", "left_anti")
         if open_.isEmpty():
-            return cands.join(kept, order, "left_semi")
+            return cands.join(cands.sparkSession.read.schema(now.schema).parquet(kept), order, "left_semi")

@@ -119,18 +119,24 @@ def residuals(preds: DataFrame) -> DataFrame:
 
 def ship_rule(scores: DataFrame, challenger: str, wins_needed: int = 3) -> DataFrame:
     """Best baseline by mean h=1 error (tie to the lag rule); the challenger ships on enough season wins."""
-    h1 = scores.filter("h = 1")
-    base = h1.filter(F.col("candidate").isin("persistence", "lag_rule"))
-    means = base.groupBy("basin", "candidate").agg(F.avg("mae").alias("mean_mae"))
-    best = means.groupBy("basin").agg(
-        F.min_by("candidate", F.struct("mean_mae", (F.col("candidate") != "lag_rule"))).alias("best_baseline"), F.min("mean_mae").alias("best_mae")
+    of = lambda name: F.max(F.when(F.col("candidate") == name, F.col("mae")))
+    # one row per season: the scores are read once
+    seasons = scores.filter("h = 1").groupBy("basin", "val_year").agg(of("persistence").alias("p"), of("lag_rule").alias("r"), of(challenger).alias("c"))
+    g = seasons.groupBy("basin").agg(
+        F.avg("p").alias("p_mean"),
+        F.avg("r").alias("r_mean"),
+        *[F.count_if(F.col("c") < F.col(x)).alias(f"{x}_wins") for x in "pr"],
+        *[F.count_if(F.col("c").isNotNull() & F.col(x).isNotNull()).alias(f"{x}_seasons") for x in "pr"],
     )
-    ref = base.join(best, "basin").filter(F.col("candidate") == F.col("best_baseline")).select("basin", "val_year", F.col("mae").alias("base_mae"))
-    ours = h1.filter(F.col("candidate") == challenger).select("basin", "val_year", "mae")
-    wins = ours.join(ref, ["basin", "val_year"]).groupBy("basin").agg(
-        F.count_if(F.col("mae") < F.col("base_mae")).alias("wins"), F.count(F.lit(1)).alias("seasons")
+    rule = F.col("r_mean").isNotNull() & (F.col("p_mean").isNull() | (F.col("r_mean") <= F.col("p_mean")))
+    pick = lambda a, b: F.when(rule, F.col(a)).otherwise(F.col(b))
+    out = g.filter("p_mean IS NOT NULL OR r_mean IS NOT NULL").select(
+        "basin",
+        F.when(rule, "lag_rule").otherwise("persistence").alias("best_baseline"),
+        pick("r_mean", "p_mean").alias("best_mae"),
+        pick("r_wins", "p_wins").alias("wins"),
+        F.nullif(pick("r_seasons", "p_seasons"), F.lit(0)).alias("seasons"),
     )
-    out = best.join(wins, "basin", "left").withColumn("wins", F.coalesce("wins", F.lit(0)))
     return out.withColumn("shipped", F.when(F.col("wins") >= wins_needed, F.lit(challenger)).otherwise(F.col("best_baseline")))
 
 

@@ -69,10 +69,14 @@ def alert_fields(docs: DataFrame, ident: str, doc: str) -> DataFrame:
     )
 
 
-def relevant_items(feeds: DataFrame, key: str, feed: str, vocabulary: str) -> DataFrame:
-    """Items of each feed that carry an identifier and match the vocabulary (a regex, any case)."""
+# fixed value: how an item of the published feed links its document
+ITEM_LINK = r"FetchXMLFile\?identifier=(\d+)"
+
+
+def relevant_items(feeds: DataFrame, key: str, feed: str, vocabulary: str, link: str = ITEM_LINK) -> DataFrame:
+    """Items of each feed that carry an identifier (the first group of ``link``) and match the vocabulary (a regex, any case)."""
     items = feeds.select(key, F.explode(F.regexp_extract_all(feed, F.lit("(?s)<item>(.*?)</item>"), 1)).alias("item"))
-    ident = F.nullif(F.regexp_extract("item", r"FetchXMLFile\?identifier=(\d+)", 1), F.lit(""))
+    ident = F.nullif(F.regexp_extract("item", link, 1), F.lit(""))
     return items.withColumn("identifier", ident).filter(F.col("identifier").isNotNull() & F.col("item").rlike(f"(?i){vocabulary}"))
 
 

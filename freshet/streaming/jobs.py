@@ -110,22 +110,19 @@ CARRY_STATE = "value double, run long, since long"
 
 
 def _carry(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    value, last, since = state.get if state.exists else (None, None, None)
-    for rows in [pd.concat(list(chunks)).sort_values("run")]:
-        out = []
-        for run, v in zip(rows["run"], rows["value"]):
-            if pd.notna(v):
-                value, last, since = float(v), int(run), None
-                out.append((key[0], run, value, "live", None))
-            elif value is None:
-                out.append((key[0], run, None, "withheld", None))
-            else:
-                since = last if since is None else since
-                out.append((key[0], run, value, "carried", since))
-        if value is not None:
-            state.update((value, last, since))
-        frame = pd.DataFrame(out, columns=["village", "run", "value", "status", "stale_since"])
-        yield frame.astype({"stale_since": "Int64"})
+    value, last, _ = state.get if state.exists else (None, None, None)
+    rows = pd.concat(list(chunks)).sort_values("run", ignore_index=True)
+    live = rows["value"].notna()
+    # the last real value and its run at every row, those of the state before the first one
+    held = rows["value"].ffill()
+    source = rows["run"].where(live).astype("Int64").ffill()
+    if value is not None:
+        held, source = held.fillna(value), source.fillna(last)
+    status = live.map({True: "live", False: "carried"}).where(held.notna(), "withheld")
+    yield pd.DataFrame({"village": key[0], "run": rows["run"], "value": held, "status": status, "stale_since": source.where(status == "carried")})
+    if len(rows) and pd.notna(held.iloc[-1]):
+        now = int(source.iloc[-1])
+        state.update((float(held.iloc[-1]), now, None if live.iloc[-1] else now))
 
 
 def carry_forward(estimates: DataFrame) -> DataFrame:
