@@ -9,7 +9,9 @@ words as a link may differ by. Texts with a common key are candidates, and a ban
 Equal texts are one node. In a bucket (texts with one key) of up to ``SMALL`` texts all pairs are tried. In
 a larger one every text is tried against the centre, the one that shares most keys with the rest. Buckets that then still hold
 several classes are gone through block by block: a link of 0.8 means that two thirds of all the words of both are common, which a mark of
-64 bytes estimates, so all pairs of different classes are compared by their marks and the likely ones tried, nearest first, in rounds until none is left untried.
+64 bytes estimates, so all pairs of different classes are compared by their marks and the likely ones aligned at once, nearest first. A task
+unites the classes that it finds linked and goes on without them; only the links that united two leave it, so fewer rows than texts come out. A pair
+that shares several buckets is looked at in the least of them.
 """
 
 from __future__ import annotations
@@ -34,8 +36,8 @@ SIMILARITY = 0.8
 SMALL = 8
 #: Bytes of a mark, and how many of them two texts must share to be tried: two thirds are expected at the least similarity, this is four standard errors under it.
 MARK, LIKE = 64, 28
-#: Texts of a large bucket that are compared in one task, at most (about); partners of a text that the first round tries, and the factor of each further one.
-BLOCK, FIRST, FURTHER = 2000, 4, 4
+#: Texts and bytes of words of a large bucket that one side of a task holds, about.
+BLOCK, BLOCK_BYTES = 2000, 1 << 24
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 _STEP = np.uint64(0xA0761D6478BD642F)
 _MARKS = mixed(np.arange(1, MARK + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB))
@@ -195,80 +197,80 @@ def _hashed(batches):
         yield pd.DataFrame({"k": b["k"], "w": [w.tobytes() for w in _word_hashes(b["text"].tolist())]})
 
 
-def _marked(batches):
+def _packed(batches):
+    """Marks, and words as numbers of four bytes."""
     for b in batches:
-        yield pd.DataFrame({"k": b["k"], "s": [mark(np.frombuffer(w, np.uint64)) for w in b["w"]]})
-
-
-def _likely(most: int):
-    def found(rows: pd.DataFrame) -> pd.DataFrame:
-        """The ``most`` likeliest partners of other classes of each text in a pair of blocks; a row of a text and itself if it has more."""
-        keys, root = rows["k"].to_numpy(object), pd.factorize(rows["root"])[0]
-        part, (p, q) = rows["part"].to_numpy(), rows.loc[rows.index[0], ["p", "q"]]
-        marks = np.frombuffer(b"".join(rows["s"]), np.uint8).reshape(len(rows), MARK)
-        left, right = np.flatnonzero(part == p), np.flatnonzero(part == q)
-        other = marks[right].T
-        a, b = [], []
-        for i in left:
-            same = np.zeros(len(right), np.uint8)
-            for x, column in zip(marks[i], other, strict=True):
-                same += column == x
-            at = np.flatnonzero((same >= LIKE) & (root[right] != root[i]))
-            if len(at) > most:
-                at = at[np.argsort(-same[at].astype(np.int16), kind="stable")[:most]]
-                a.append(keys[i])
-                b.append(keys[i])
-            a += [keys[i]] * len(at)
-            b += list(keys[right[at]])
-        out = pd.DataFrame({"a": a, "b": b}, dtype=object)
-        turned = [x > y for x, y in zip(a, b, strict=True)]
-        out.loc[turned, ["a", "b"]] = out.loc[turned, ["b", "a"]].to_numpy()
-        return out.drop_duplicates()
-
-    return found
+        words = [np.frombuffer(w, np.uint64) for w in b["w"]]
+        yield pd.DataFrame({"k": b["k"], "s": [mark(w) for w in words], "w": [(w >> np.uint64(32)).astype(np.uint32).tobytes() for w in words]})
+
+
+def _uniting(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between texts of different classes in a pair of blocks, as far as each unites two that no earlier one has."""
+    bucket, p, q = rows.loc[rows.index[0], ["b", "p", "q"]]
+    keys, part = rows["k"].to_numpy(object), rows["part"].to_numpy()
+    marks = np.frombuffer(b"".join(rows["s"]), np.uint8).reshape(len(rows), MARK)
+    words = [np.frombuffer(w, np.uint32) for w in rows["w"]]
+    shared = [np.asarray(x) for x in rows["buckets"]]
+    length = np.array([len(w) for w in words])
+    above = list(range(len(rows)))
+    group = pd.factorize(rows["root"])[0]
+
+    def top(i: int) -> int:
+        while above[i] != i:
+            above[i] = above[above[i]]
+            i = above[i]
+        return i
+
+    left, right = np.flatnonzero(part == p), np.flatnonzero(part == q)
+    other = marks[right].T
+    links = []
+    for i in left:
+        same = np.zeros(len(right), np.uint8)
+        for x, column in zip(marks[i], other, strict=True):
+            same += column == x
+        near = np.abs(length[right] - length[i]) <= (1 - SIMILARITY) * np.maximum(length[right], length[i]) + 1e-9
+        at = np.flatnonzero((same >= LIKE) & near & (group[right] != group[i]) & ((right > i) | (p != q)))
+        for j in right[at[np.argsort(-same[at].astype(np.int16), kind="stable")]]:
+            if top(group[i]) == top(group[j]) or np.intersect1d(shared[i], shared[j], assume_unique=True)[0] != bucket:
+                continue
+            if _links(words[i], words[j]):
+                above[top(group[i])] = top(group[j])
+                links.append(sorted((keys[i], keys[j])))
+    return pd.DataFrame(links, columns=["a", "b"], dtype=object)
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows of buckets (b, n, k) in pairs of blocks p <= q of the bucket, so that any two texts of a bucket meet in one."""
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    """Rows of buckets (b, n, size, k) in pairs of blocks p <= q of the bucket, so that any two texts of a bucket meet in one."""
+    parts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_BYTES)).cast("int")
     cut = rows.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "k"), parts).cast("int"))
     cut = cut.withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return cut.withColumn("p", F.least("part", "with")).withColumn("q", F.greatest("part", "with"))
+    return cut.withColumn("p", F.least("part", "with")).withColumn("q", F.greatest("part", "with")).drop("with", "n", "size")
 
 
-def _settled(keyed: DataFrame, large: DataFrame, tried: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
+def _settled(keyed: DataFrame, large: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
     """The classes after all likely pairs of different classes in large buckets have been tried."""
-    held, most = None, FIRST
-    while True:
-        rows = large.join(classes, "k", "left").withColumn("root", F.coalesce("root", "k"))
-        # buckets of the same texts count once
-        kinds = rows.groupBy("b").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("same")).where("x <> y")
-        open_ = kinds.groupBy("n", "same").agg(F.min("b").alias("b"))
-        rows = cut_lineage(rows.select("b", "k", "root").join(open_.select("b", "n"), "b"))
-        if rows.isEmpty():
-            return classes
-        if held is None:
-            held = _texts(keyed, rows.select("k").distinct())
-            marks = cut_lineage(held.mapInPandas(_marked, "k binary, s binary"))
-        pairs = _in_blocks(rows).join(marks, "k").groupBy("b", "p", "q").applyInPandas(_likely(most), "a binary, b binary")
-        pairs = cut_lineage(pairs.distinct())
-        more = cut_lineage(pairs.where("a <> b").join(tried, ["a", "b"], "leftanti"))
-        some = not more.isEmpty()
-        if some:
-            links = cut_lineage(links.union(_linked(held, more)))
-            tried = cut_lineage(tried.union(more))
-            classes = components(links)
-        elif pairs.where("a = b").isEmpty():
-            return classes
-        most *= FURTHER
+    rows = cut_lineage(large.join(classes, "k", "left").withColumn("root", F.coalesce("root", "k")))
+    # buckets of the same texts count once
+    kinds = rows.groupBy("b").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("same")).where("x <> y")
+    open_ = cut_lineage(kinds.groupBy("n", "same").agg(F.min("b").alias("b")).select("b", "n"))
+    rows = cut_lineage(rows.join(open_, "b").select("b", "n", "k", "root"))
+    if rows.isEmpty():
+        return classes
+    nodes = cut_lineage(rows.groupBy("k").agg(F.array_sort(F.collect_set("b")).alias("buckets")))
+    held = _texts(keyed, nodes.select("k")).mapInPandas(_packed, "k binary, s binary, w binary")
+    held = cut_lineage(held.join(nodes, "k"))
+    sizes = rows.select("b", "k").join(held.select("k", F.length("w").alias("size")), "k").groupBy("b").agg(F.sum("size").alias("size"))
+    blocks = _in_blocks(rows.join(sizes, "b")).join(held, "k").groupBy("b", "p", "q").applyInPandas(_uniting, "a binary, b binary")
+    return components(cut_lineage(links.union(blocks.distinct())))
+
+
+def _links(a: np.ndarray, b: np.ndarray) -> bool:
+    return _bound(a, b) >= SIMILARITY - 1e-9 and alignment(a.tolist(), b.tolist()) >= SIMILARITY - 1e-9
 
 
 def _aligned(batches):
     for b in batches:
-        good = []
-        for x, y in zip(b["wa"], b["wb"], strict=True):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            good.append(_bound(p, q) >= SIMILARITY - 1e-9 and alignment(p.tolist(), q.tolist()) >= SIMILARITY - 1e-9)
+        good = [_links(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(b["wa"], b["wb"], strict=True)]
         yield b.loc[good, ["a", "b"]]
 
 
@@ -312,7 +314,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     tried, inside = _candidates(sketches)
     links = _verified(keyed, tried)
     classes = components(links)
-    classes = _settled(keyed, inside.where(F.col("n") > SMALL).select("b", "k"), tried, links, classes)
+    classes = _settled(keyed, inside.where(F.col("n") > SMALL).select("b", "k"), links, classes)
     ids = keyed.groupBy("k").agg(F.min("doc_id").alias("least")).join(classes, "k", "left").withColumn("root", F.coalesce("root", "k"))
     ids = cut_lineage(ids)
     least = ids.groupBy("root").agg(F.min("least").alias("class_id"))

@@ -163,7 +163,7 @@ def test_texts_that_meet_only_in_a_large_bucket_are_tried(spark):
     docs = spark.createDataFrame([(f"{c:02}{v}".encode(), " ".join(w)) for (c, v), w in texts.items()], "k binary, text string")
     none = spark.createDataFrame([], "a binary, b binary")
     large = docs.select(F.lit(1).cast("long").alias("b"), "k")
-    got = order_minhash._settled(docs, large, none, none, order_minhash.components(none))
+    got = order_minhash._settled(docs, large, none, order_minhash.components(none))
     assert {bytes(r.k): bytes(r.root) for r in got.collect()} == {f"{c:02}{v}".encode(): f"{c:02}0".encode() for c, v in texts}
 
 
@@ -217,3 +217,40 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, tmp_path):
         assert d.columns == docs.columns
     left = {r.doc_id for r in d.collect()}
     assert ids <= left and left >= set(range(150)) - {2} and not left & {*range(150, 202), 203, 204, 205}
+
+
+def test_blocks_of_shared_buckets_unite_what_all_pairs_would(spark, monkeypatch):
+    # versions of versions in several buckets that overlap, cut into many blocks
+    monkeypatch.setattr(order_minhash, "BLOCK", 7)
+    rng = random.Random(11)
+    texts = {}
+    for c in range(9):
+        w = words(rng, 60)
+        for v in range(8):
+            w = list(w)
+            for at in rng.sample(range(60), rng.choice([3, 9, 14])):
+                w[at] = f"c{c}v{v}{at}"
+            texts[f"{c}-{v}".encode()] = w
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()], "k binary, text string")
+    buckets = [(b, k) for b in range(4) for k in texts if rng.random() < 0.8] + [(9, k) for k in texts]
+    large = spark.createDataFrame(buckets, "b long, k binary")
+    none = spark.createDataFrame([], "a binary, b binary")
+    got = defaultdict(set)
+    for r in order_minhash._settled(docs, large, none, order_minhash.components(none)).collect():
+        got[bytes(r.root)].add(bytes(r.k))
+    above = {k: k for k in texts}
+
+    def top(k):
+        while above[k] != k:
+            k = above[k]
+        return k
+
+    keys = sorted(texts)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            if order_minhash.alignment(texts[a], texts[b]) >= 0.8 - 1e-9:
+                above[top(b)] = top(a)
+    want = defaultdict(set)
+    for k in keys:
+        want[top(k)].add(k)
+    assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
