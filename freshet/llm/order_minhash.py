@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.arrays import Words, mixed, slices
+from freshet.llm.arrays import Words, mix_in_place, mixed, slices
 from freshet.llm.common import broadcast_within, whole_text
 from freshet.session import cut_lineage
 
@@ -82,7 +82,7 @@ def sketch(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     take = min(PICKED, n)
     step = max(1, 4_000_000 // n)
     for k in range(0, SKETCHES, step):
-        h = mixed(labelled[None, :] ^ _SEEDS[k : k + step, None])
+        h = mix_in_place(labelled[None, :] ^ _SEEDS[k : k + step, None])
         places = np.empty((len(h), take), np.int64)
         for j in range(take):
             places[:, j] = h.argmin(axis=1)
@@ -188,7 +188,7 @@ def mark(words: np.ndarray) -> bytes:
     labelled = _labelled(words, 1)
     least = np.full(MARK, np.iinfo(np.uint64).max)
     for i in range(0, len(labelled), 50_000):
-        least = np.minimum(least, mixed(labelled[None, i : i + 50_000] ^ _MARKS[:, None]).min(axis=1))
+        least = np.minimum(least, mix_in_place(labelled[None, i : i + 50_000] ^ _MARKS[:, None]).min(axis=1))
     return (least & np.uint64(255)).astype(np.uint8).tobytes()
 
 
