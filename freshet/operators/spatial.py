@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from freshet.functions import geometry as G
 from freshet.operators.boxtree import nearest_by_boxes
-from freshet.session import cut_lineage, fresh_path
+from freshet.operators.closecells import first_come
+from freshet.session import cut_lineage
 
 # degrees per cell; every size divides 360 so that longitude cells close around the globe
 LEVELS = (0.01, 0.05, 0.2, 0.5, 1.0, 2.0, 4.0, 20.0)
@@ -319,26 +320,9 @@ def best_cell_in_band(stations: DataFrame, cells: DataFrame, key: str) -> DataFr
 def distinct_cells(cands: DataFrame, order: str, tol: float = 0.001) -> DataFrame:
     """Plausible candidates in order, each dropped when an earlier kept one lies within ``tol`` degrees.
 
-    ``cands``: (order, lat, lon, mean, qmin, qmax). Exact spots are reduced to their first row, then
-    rounds settle chains of close ones: kept when every earlier neighbour is dropped, dropped when
-    one is kept. Grid data settle in the first round.
+    ``cands``: (order, lat, lon, mean, qmin, qmax), orders unique. Exact spots are reduced to their
+    first row, then close ones are settled tile by tile (``closecells``); grid data need no round.
     """
     ok = (F.col("mean") >= F.col("qmin")) & (F.col("qmax").isNull() | (F.col("mean") <= F.col("qmax")))
     spots = cands.filter(ok).groupBy("lat", "lon").agg(F.min(order).alias(order))
-    a = cut_lineage(spots)
-    b = _cells_around(a, "lat", "lon", tol * 2).select(order, "lat", "lon", "_cy", "_cx")
-    c = _cell(a, "lat", "lon", tol * 2).select(F.col(order).alias("_earlier"), F.col("lat").alias("_la"), F.col("lon").alias("_lo"), "_cy", "_cx")
-    close = (F.abs(F.col("lat") - F.col("_la")) < tol) & (F.abs(F.col("lon") - F.col("_lo")) < tol) & (F.col("_earlier") < F.col(order))
-    edges = cut_lineage(b.join(c, ["_cy", "_cx"]).filter(close).select(order, "_earlier").distinct())
-    open_ = a.select(order)
-    # every round adds its rows to one table
-    kept = fresh_path(cands.sparkSession, "kept")
-    while True:
-        waiting = edges.join(open_.withColumnRenamed(order, "_earlier"), "_earlier", "left_semi")
-        now = cut_lineage(open_.join(waiting, order, "left_anti"))
-        now.write.mode("append").parquet(kept)
-        gone = edges.join(now.withColumnRenamed(order, "_earlier"), "_earlier", "left_semi").select(order).distinct()
-        open_ = cut_lineage(open_.join(now, order, "left_anti").join(gone, order, "left_anti"))
-        edges = edges.join(gone.withColumnRenamed(order, "_earlier"), "_earlier", "left_anti")
-        if open_.isEmpty():
-            return cands.join(cands.sparkSession.read.schema(now.schema).parquet(kept), order, "left_semi")
+    return cands.join(first_come(spots, order, tol), order, "left_semi")

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from freshet.functions import geometry as G
 from freshet.operators import boxtree as BT
+from freshet.operators import closecells
 from freshet.operators import raster as X
 from freshet.operators import spatial as P
+from freshet.operators.closecells import first_come
+from freshet.session import cut_lineage
 
 
 def km(a, b, c, d):
@@ -38,7 +41,7 @@ def test_nearest_is_exact_for_clusters_outliers_and_the_date_line(table, seed, k
     right = [(i, 10 + rng.gauss(0, 0.02), 20 + rng.gauss(0, 0.02)) for i in range(150)]
     right += [(200 + i, rng.uniform(-60, 60), rng.uniform(-180, 180)) for i in range(25)]
     right += [(300, 5.0, 179.9), (301, 5.0, -179.9), (302, 5.0, -179.9)]
-    left = [(10 + rng.gauss(0, 0.05), 20 + rng.gauss(0, 0.05)) for _ in range(60)]
+    left = [(10 + rng.gauss(0, 0.05), 20 + rng.gauss(0, 0.05)) for _ in range(40)]
     left += [(rng.uniform(-60, 60), rng.uniform(-180, 180)) for _ in range(40)] + [(5.0, 179.95), (5.0, -179.99), (85.0, 3.0)]
     got = found(P.nearest_k(table("lat double, lon double", left * 2), table("pid int, plat double, plon double", right), "pid", k))
     assert got == brute(left, right, k)
@@ -82,7 +85,7 @@ def test_boxes_hold_the_nearest_of_far_places(spark, table, monkeypatch, leaf, f
 def test_box_leaves_far_places_out(table):
     rng = random.Random(9)
     right = [(i, rng.uniform(0, 2), rng.uniform(0, 2)) for i in range(40)]
-    left = [(rng.uniform(0, 4), rng.uniform(0, 4)) for _ in range(60)]
+    left = [(rng.uniform(0, 4), rng.uniform(0, 4)) for _ in range(40)]
     got = found(P.nearest_k(table("lat double, lon double", left), table("pid int, plat double, plon double", right), "pid", 1, box=0.6))
     assert got == brute(left, right, 1, 0.6)
     assert len(got) < len(left)
@@ -165,6 +168,43 @@ def test_chains_of_close_cells_follow_the_greedy_order(table):
     assert rows(P.distinct_cells(df, "i").select("i")) == [(1,), (3,), (6,)]
 
 
+def greedy(spots, tol):
+    kept = []
+    for i, y, x in sorted(spots):
+        if not any(abs(y - b) < tol and abs(x - c) < tol for _, b, c in kept):
+            kept.append((i, y, x))
+    return sorted((i,) for i, _, _ in kept)
+
+
+@pytest.mark.parametrize("tiles", [(4, 4), (2, 16), (64, 1024)])
+def test_close_spots_are_kept_first_come(table, tiles):
+    rng = random.Random(7)
+    # a crowd, a chain in order, one against it, one back and forth over tile borders, and lone spots
+    spots = [(rng.uniform(-0.006, 0.006), rng.uniform(-0.006, 0.006)) for _ in range(400)]
+    chain = [(1.0, 0.0008 * j) for j in range(40)]
+    zigzag = [(2.0 + 0.0007 * (j % 2), 0.0005 * j) for j in range(40)]
+    spots += chain + [(3.0, x) for _, x in reversed(chain)] + zigzag + [(float(10 + j), 5.0) for j in range(5)]
+    spots = [(i, y, x) for i, (y, x) in enumerate(spots)]
+    got = first_come(table("i int, lat double, lon double", spots), "i", 0.001, *tiles)
+    assert rows(got) == greedy(spots, 0.001)
+
+
+def test_a_long_chain_needs_few_rounds(table, monkeypatch):
+    written = []
+    monkeypatch.setattr(closecells, "cut_lineage", lambda df: (written.append(1), cut_lineage(df))[1])
+    spots = [(i, 1.0, 0.0008 * i) for i in range(2000)]
+    assert rows(first_come(table("i int, lat double, lon double", spots), "i", 0.001)) == [(i,) for i in range(0, 2000, 2)]
+    # two tables before the rounds and two a round: tiles of 64, 256 and 1024 boxes
+    assert len(written) <= 2 + 2 * 3
+
+
+def test_spots_without_a_place_are_kept(table):
+    nan, inf = float("nan"), float("inf")
+    spots = [(1, None, 1.0), (2, None, 1.0), (3, nan, 1.0), (4, nan, 1.0), (5, inf, 1.0), (6, 1.0, 1.0), (7, 1.0, 1.0005)]
+    assert rows(first_come(table("i int, lat double, lon double", spots), "i", 0.001)) == [(1,), (2,), (3,), (4,), (5,), (6,)]
+    assert rows(first_come(table("i int, lat double, lon double", []), "i", 0.001)) == []
+
+
 def test_places_take_the_first_tier_and_the_first_alias(table):
     places = table(
         "id int, d int, name string, lat double, lon double",
