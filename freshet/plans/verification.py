@@ -32,22 +32,21 @@ def held_value(asks: DataFrame, obs: DataFrame, key: str, ask: str, day: str, va
 def _score(rows: DataFrame, keys: list[str], has_events: str, min_pairs: int) -> DataFrame:
     """Errors, and threshold events where ``has_events``, in one grouping.
 
-    The event status says why there is no score: no mark, nothing observed, or no crossing.
+    The event status says why there is no score: no mark, no forecast whose target is observed, or no
+    crossing. Rows without events have none.
     """
-    known = F.col("obs").isNotNull() & F.col(has_events)
+    known = F.col("obs").isNotNull() & F.col("fc").isNotNull() & F.col(has_events)
     act, fc = known & (F.col("obs") >= F.col("thr")), known & (F.col("fc") >= F.col("thr"))
     g = rows.groupBy(*keys).agg(
-        *A.error_columns("obs", "fc", "pers"), *A.contingency_columns(act, fc), F.max("thr").alias("_thr"), F.count_if(known).alias("_known")
+        *A.error_columns("obs", "fc", "pers"), *A.contingency_columns(act, fc), F.max("thr").alias("_thr"), F.count_if(known).alias("_known"), F.bool_or(has_events).alias("_asked")
     )
     g = A.gate(g.drop("rmse", "n_hits"), "n", min_pairs, ["mae", "mae_persistence", "skill", "bias"])
-    status = F.when(
-        F.col("_known") > 0,
-        F.when(F.col("_thr").isNull(), "no threshold").when((F.col("n_actual") == 0) & (F.col("n_predicted") == 0), "no crossings").otherwise("ok"),
-    )
-    g = g.withColumn("ev_status", status)
+    status = F.when(F.col("_thr").isNull(), "no threshold").when(F.col("_known") == 0, "no pairs")
+    status = status.when((F.col("n_actual") == 0) & (F.col("n_predicted") == 0), "no crossings").otherwise("ok")
+    g = g.withColumn("ev_status", F.when(F.col("_asked"), status))
     ok = F.col("ev_status") == "ok"
     events = {"observed_above": "n_actual", "forecast_above": "n_predicted", "pod": "pod", "far": "far"}
-    return g.withColumns({out: F.when(ok, F.col(c)) for out, c in events.items()}).drop("n_actual", "n_predicted", "_thr", "_known")
+    return g.withColumns({out: F.when(ok, F.col(c)) for out, c in events.items()}).drop("n_actual", "n_predicted", "_thr", "_known", "_asked")
 
 
 def lead_bucket_score(

@@ -174,6 +174,18 @@ def test_event_statuses(table):
     assert got == {1: ("no crossings", None, None), 2: ("ok", 1, 1.0), 3: ("no threshold", None, None)}
 
 
+def test_events_without_pairs_say_so(table):
+    # site 1: the target is not observed; 2: the forecast is missing; 3: neither pairs nor a mark; lead 2 has no events
+    obs = table("site int, d date, q double", [(s, day(0), 1.0) for s in (1, 2, 3)] + [(2, day(1), 9.0)])
+    f = table(
+        "site int, issued date, target date, lead int, fc double",
+        [(1, day(0), day(1), 1, 2.0), (2, day(0), day(1), 1, None), (3, day(0), day(1), 1, 2.0), (1, day(0), day(2), 2, 2.0)],
+    )
+    marks = table("site int, thr double", [(1, 1.5), (2, 1.5), (3, None)])
+    got = {(r["site"], r["lead"]): (r["ev_status"], r["observed_above"], r["pod"]) for r in V.lead_day_score(f, obs, marks).collect()}
+    assert got == {(1, 1): ("no pairs", None, None), (2, 1): ("no pairs", None, None), (3, 1): ("no threshold", None, None), (1, 2): (None, None, None)}
+
+
 def test_golden_rows(table):
     g = table("k int, a double, b double", [(1, 1.0, None), (2, 2.0, 3.0)])
     n = table("k int, a double, b double", [(1, 1.0, None), (2, 2.0, 4.0)])
