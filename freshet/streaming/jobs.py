@@ -46,24 +46,34 @@ RUN_OUTPUT = "station long, onset timestamp, end timestamp, peak double, n_hours
 RUN_STATE = "onset timestamp, end timestamp, peak double, n_hours long"
 
 
+def run_step(rows: pd.DataFrame, run: tuple | None, threshold: float) -> tuple[pd.DataFrame, tuple | None]:
+    """Runs that a batch of hourly totals (hour, total) closes, and the run that is open after it.
+
+    ``run`` is the open run before the batch (onset, end, peak, hours). A missing total is below every threshold.
+    """
+    rows = rows.sort_values("hour", ignore_index=True)
+    up = rows["total"] >= threshold
+    # hours below so far in the batch: one number per run, 0 for what continues the open one
+    below = (~up).cumsum()
+    runs = rows[up].groupby(below[up]).agg(onset=("hour", "min"), end=("hour", "max"), peak=("total", "max"), n_hours=("hour", "size"))
+    if run is not None:
+        open_ = pd.DataFrame([run], columns=list(runs.columns), index=[0])
+        runs = pd.concat([open_, runs]) if len(runs) else open_
+        runs = runs.groupby(level=0).agg({"onset": "min", "end": "max", "peak": "max", "n_hours": "sum"})
+    last = below.iloc[-1] if len(rows) else 0
+    still = runs[runs.index == last]
+    return runs[runs.index < last], tuple(still.iloc[0]) if len(still) else None
+
+
 def _runs(threshold: float) -> Callable:
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         # hourly sums of one station: at most a few per batch, whatever its readings
-        rows = pd.concat(list(chunks)).sort_values("hour")
-        run = state.get if state.exists else None
-        closed = []
-        for hour, total in zip(rows["hour"], rows["total"]):
-            if total >= threshold:
-                run = (hour, hour, total, 1) if run is None else (run[0], hour, max(run[2], total), run[3] + 1)
-            elif run is not None:
-                closed.append((key[0], *run))
-                run = None
-        if run is None:
-            if state.exists:
-                state.remove()
-        else:
+        closed, run = run_step(pd.concat(list(chunks)), state.get if state.exists else None, threshold)
+        if run is not None:
             state.update((pd.Timestamp(run[0]).to_pydatetime(), pd.Timestamp(run[1]).to_pydatetime(), float(run[2]), int(run[3])))
-        yield pd.DataFrame(closed, columns=["station", "onset", "end", "peak", "n_hours"])
+        elif state.exists:
+            state.remove()
+        yield closed.assign(station=key[0])[["station", "onset", "end", "peak", "n_hours"]]
 
     return step
 

@@ -1,7 +1,9 @@
 """Jobs resumed over several batches give what one batch over everything gives."""
 
 import datetime as dt
+import random
 
+import pandas as pd
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -36,6 +38,25 @@ def test_runs_stay_open_between_batches(spark, table):
     assert got == [(1, T0 + dt.timedelta(hours=1), T0 + dt.timedelta(hours=4), 9.0, 4)]
 
 
+def test_runs_are_the_same_however_the_hours_are_cut():
+    rng = random.Random(3)
+    for _ in range(60):
+        totals = [rng.choice([1.0, 7.0, 8.0, 9.0, None]) for _ in range(rng.randrange(1, 14))]
+        hours = pd.DataFrame({"hour": [T0 + dt.timedelta(hours=h) for h in range(len(totals))], "total": pd.Series(totals, dtype="float64")})
+        want, now = [], None
+        for h, v in zip(hours["hour"], totals):
+            if v is not None and v >= 7.0:
+                now = (h, h, v, 1) if now is None else (now[0], h, max(now[2], v), now[3] + 1)
+            elif now is not None:
+                want, now = [*want, now], None
+        cuts = sorted(rng.choices(range(len(totals) + 1), k=rng.randrange(3)))
+        got, run = [], None
+        for a, b in zip([0, *cuts], [*cuts, len(totals)]):
+            closed, run = Jb.run_step(hours[a:b].sample(frac=1, random_state=1), run, 7.0)
+            got += list(closed.itertuples(index=False, name=None))
+        assert (got, run) == (want, now)
+
+
 def test_carry_remembers_since_when(spark, table):
     inbox, sink, check = (fresh_path(spark, n) for n in ("inbox", "sink", "check"))
     schema = "village bigint, run bigint, value double"
