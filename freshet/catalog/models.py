@@ -277,7 +277,8 @@ def forecasts(t):
 @entry(
     "lead_bucket_score",
     f"""WITH b AS (SELECT * FROM (VALUES ('6h', 3, 9), ('12h', 9, 18), ('24h', 18, 36), ('48h', 36, 60), ('72h', 60, 96), ('7d', 96, 192)) v(bucket, lo, hi)),
-       p AS (SELECT f.site, bucket, f.fc, o.q AS obs, i.q AS pers FROM v4 f JOIN b ON lead_d >= lo AND lead_d < hi LEFT JOIN v2 o ON o.site = f.site AND o.d = f.target ASOF LEFT JOIN v2 i ON i.site = f.site AND f.issued >= i.d),
+       p AS (SELECT f.site, bucket, f.fc, o.q AS obs, i.q AS pers FROM v4 f JOIN b ON lead_d >= lo AND lead_d < hi LEFT JOIN v2 o ON o.site = f.site AND o.d = f.target ASOF LEFT JOIN v2 i ON i.site = f.site AND f.issued >= i.d
+         UNION ALL SELECT DISTINCT site, bucket, NULL, NULL, NULL FROM v4, b),
        s AS (SELECT site, bucket, count(*) FILTER (obs IS NOT NULL AND pers IS NOT NULL) AS n, avg(abs(fc - obs)) FILTER (pers IS NOT NULL) AS mae, avg(abs(pers - obs)) AS mp, avg(fc - obs) FILTER (pers IS NOT NULL) AS bias FROM p GROUP BY 1, 2),
        e AS (SELECT site, thr, count(*) FILTER (obs IS NOT NULL AND fc IS NOT NULL) AS n, count(*) FILTER (obs >= thr AND fc IS NOT NULL) AS a, count(*) FILTER (fc >= thr AND obs IS NOT NULL) AS c, count(*) FILTER (obs >= thr AND fc >= thr) AS h FROM p JOIN {MARKS_SQL} USING (site) WHERE bucket = '24h' GROUP BY 1, 2)
        SELECT s.site, s.bucket, s.n, CASE WHEN s.n >= 12 THEN 'ok' ELSE 'insufficient' END AS status, CASE WHEN s.n >= 12 THEN mae END AS mae, CASE WHEN s.n >= 12 THEN mp END AS mae_persistence, CASE WHEN s.n >= 12 THEN 1 - mae / mp END AS skill,
@@ -292,7 +293,8 @@ def _(t):
 
 @entry(
     "lead_day_score",
-    f"""WITH p AS (SELECT f.site, lead_d AS lead, f.fc, o.q AS obs, i.q AS pers FROM v4 f LEFT JOIN v2 o ON o.site = f.site AND o.d = f.target LEFT JOIN v2 i ON i.site = f.site AND f.issued = i.d WHERE lead_d IN (1, 2, 3, 5, 7)),
+    f"""WITH p AS (SELECT f.site, lead_d AS lead, f.fc, o.q AS obs, i.q AS pers FROM v4 f LEFT JOIN v2 o ON o.site = f.site AND o.d = f.target LEFT JOIN v2 i ON i.site = f.site AND f.issued = i.d WHERE lead_d IN (1, 2, 3, 5, 7)
+         UNION ALL SELECT DISTINCT site, l.lead, NULL, NULL, NULL FROM v4, (VALUES (1), (2), (3), (5), (7)) l(lead)),
        s AS (SELECT site, lead, count(*) FILTER (obs IS NOT NULL AND pers IS NOT NULL) AS n, avg(abs(fc - obs)) FILTER (pers IS NOT NULL) AS mae, avg(abs(pers - obs)) AS mp, avg(fc - obs) FILTER (pers IS NOT NULL) AS bias FROM p GROUP BY 1, 2),
        e AS (SELECT site, thr, count(*) FILTER (obs IS NOT NULL AND fc IS NOT NULL) AS n, count(*) FILTER (obs >= thr AND fc IS NOT NULL) AS a, count(*) FILTER (fc >= thr AND obs IS NOT NULL) AS c, count(*) FILTER (obs >= thr AND fc >= thr) AS h FROM p JOIN {MARKS_SQL} USING (site) WHERE lead = 1 GROUP BY 1, 2)
        SELECT s.site, s.lead, s.n, CASE WHEN s.n >= 8 THEN 'ok' ELSE 'insufficient' END AS status, CASE WHEN s.n >= 8 THEN mae END AS mae, CASE WHEN s.n >= 8 THEN mp END AS mae_persistence, CASE WHEN s.n >= 8 THEN 1 - mae / mp END AS skill,

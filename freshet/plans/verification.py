@@ -49,24 +49,32 @@ def _score(rows: DataFrame, keys: list[str], has_events: str, min_pairs: int) ->
     return g.withColumns({out: F.when(ok, F.col(c)) for out, c in events.items()}).drop("n_actual", "n_predicted", "_thr", "_known", "_asked")
 
 
+def _with_every(rows: DataFrame, leads: DataFrame) -> DataFrame:
+    # a row without a forecast per site and lead: it counts for nothing, but the lead is scored
+    return rows.unionByName(leads, allowMissingColumns=True)
+
+
 def lead_bucket_score(
     forecasts: DataFrame, obs: DataFrame, marks: DataFrame, key: str = "site", event_bucket: str = "24h", min_pairs: int = MIN_PAIRS
 ) -> DataFrame:
     """Per site and lead bucket: error, persistence error, skill, bias; warning events in one bucket.
 
     ``forecasts``: (site, issued, target, lead, fc); ``obs``: (site, d, q); ``marks``: (site, thr).
-    Persistence is the last observation at or before the issue time.
+    Persistence is the last observation at or before the issue time. Every site with a forecast has
+    all the buckets, those without one being insufficient with n = 0.
     """
     bands = F.array(*[F.struct(F.lit(b).alias("bucket"), F.lit(lo).alias("_lo"), F.lit(hi).alias("_hi")) for b, (lo, hi) in LEAD_BUCKETS.items()])
     rows = forecasts.select("*", F.inline(bands)).filter((F.col("lead") >= F.col("_lo")) & (F.col("lead") < F.col("_hi")))
+    rows = _with_every(rows, forecasts.select(key).distinct().select(key, F.inline(bands)).drop("_lo", "_hi"))
     rows = held_value(value_at(rows, obs, key, "d", "q", {"obs": "target"}), obs, key, "issued", "d", "q", "pers")
     rows = rows.join(marks, key, "left").withColumn("_ev", F.col("bucket") == event_bucket)
     return _score(rows, [key, "bucket"], "_ev", min_pairs)
 
 
 def lead_day_score(forecasts: DataFrame, obs: DataFrame, marks: DataFrame, key: str = "site", min_pairs: int = MIN_PAIRS) -> DataFrame:
-    """Per site and lead day: same measures, persistence being the value of the issue day itself."""
+    """Per site and lead day: same measures (and rows without a forecast), persistence being the value of the issue day itself."""
     rows = forecasts.filter(F.col("lead").isin(*LEAD_DAYS))
+    rows = _with_every(rows, forecasts.select(key).distinct().select(key, F.explode(F.array(*[F.lit(n) for n in LEAD_DAYS])).alias("lead")))
     rows = value_at(rows, obs, key, "d", "q", {"obs": "target", "pers": "issued"})
     rows = rows.join(marks, key, "left").withColumn("_ev", F.col("lead") == 1)
     return _score(rows, [key, "lead"], "_ev", min_pairs)

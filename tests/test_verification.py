@@ -163,14 +163,16 @@ def test_lead_buckets_are_half_open(table):
     f = table("site int, issued date, target date, lead int, fc double", [(1, day(0), day(n), n, float(n)) for n in (2, 3, 8, 9, 17, 18)])
     marks = table("site int, thr double", [(1, 15.0)])
     got = {r["bucket"]: (r["n"], r["status"]) for r in V.lead_bucket_score(f, obs, marks, min_pairs=2).collect()}
-    assert got == {"6h": (2, "ok"), "12h": (2, "ok"), "24h": (1, "insufficient")}
+    # a bucket without a forecast is there too
+    none = {b: (0, "insufficient") for b in ("48h", "72h", "7d")}
+    assert got == {"6h": (2, "ok"), "12h": (2, "ok"), "24h": (1, "insufficient")} | none
 
 
 def test_event_statuses(table):
     obs = table("site int, d date, q double", [(s, day(i), 1.0) for s in (1, 2, 3) for i in range(5)])
     f = table("site int, issued date, target date, lead int, fc double", [(s, day(0), day(1), 1, 2.0) for s in (1, 2, 3)])
     marks = table("site int, thr double", [(1, 9.0), (2, 1.5), (3, None)])
-    got = {r["site"]: (r["ev_status"], r["forecast_above"], r["far"]) for r in V.lead_day_score(f, obs, marks).collect()}
+    got = {r["site"]: (r["ev_status"], r["forecast_above"], r["far"]) for r in V.lead_day_score(f, obs, marks).where("lead = 1").collect()}
     assert got == {1: ("no crossings", None, None), 2: ("ok", 1, 1.0), 3: ("no threshold", None, None)}
 
 
@@ -182,7 +184,9 @@ def test_events_without_pairs_say_so(table):
         [(1, day(0), day(1), 1, 2.0), (2, day(0), day(1), 1, None), (3, day(0), day(1), 1, 2.0), (1, day(0), day(2), 2, 2.0)],
     )
     marks = table("site int, thr double", [(1, 1.5), (2, 1.5), (3, None)])
-    got = {(r["site"], r["lead"]): (r["ev_status"], r["observed_above"], r["pod"]) for r in V.lead_day_score(f, obs, marks).collect()}
+    scores = V.lead_day_score(f, obs, marks)
+    assert {(r["n"], r["status"], r["ev_status"]) for r in scores.where("lead > 2").collect()} == {(0, "insufficient", None)}
+    got = {(r["site"], r["lead"]): (r["ev_status"], r["observed_above"], r["pod"]) for r in scores.where("lead = 1 OR site = 1 AND lead = 2").collect()}
     assert got == {(1, 1): ("no pairs", None, None), (2, 1): ("no pairs", None, None), (3, 1): ("no threshold", None, None), (1, 2): (None, None, None)}
 
 
