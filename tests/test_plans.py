@@ -54,6 +54,19 @@ def test_plan(spark, written, name):
         assert whole_windows(df) == []
 
 
+@pytest.mark.parametrize("name", ["split_observed_forecast", "anti_known", "value_at_target"])
+def test_orders_are_merged_in_tasks_of_bounded_rows(spark, monkeypatch, name):
+    from freshet.catalog import fixtures
+
+    monkeypatch.setattr(fixtures, "ROWS_PER_TASK", 250)
+    every = list(nodes(run(name, spark, SF)._jdf.queryExecution().executedPlan()))
+    joins = [n for n in every if "Join" in n.nodeName() and "o_orderkey" in n.simpleString(200)]
+    assert joins and {n.nodeName() for n in joins} == {"SortMergeJoin"}
+    rows = sum(spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("lineitem", "orders"))
+    for side in [x for n in joins for x in (n.left(), n.right())]:
+        assert side.outputPartitioning().numPartitions() >= rows / 250
+
+
 def test_window_over_one_task_is_seen(spark):
     from pyspark.sql import Window
     from pyspark.sql import functions as F
