@@ -13,15 +13,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.common import split_words, whole_text, word_ngrams
+from freshet.llm.common import BROADCAST_ROWS, split_words, whole_text, word_ngrams
 
 BUCKETS = 1 << 14
 #: Pseudo-counts per bucket of the trusted multinomial, spread as the raw corpus is.
 SMOOTHING = 1.0
 #: Mean log ratio (nats per n-gram) below which a document goes.
 THRESHOLD = -0.35
-#: Labelled rows that the trusted multinomial is fitted on, at most (about): keys small enough to broadcast.
-MAX_TRUSTED = 200_000
 
 
 def _grams(words: str, buckets: int) -> Column:
@@ -32,21 +30,28 @@ def _grams(words: str, buckets: int) -> Column:
     return F.concat(one, two)
 
 
-def trusted_ids(labels: DataFrame, max_rows: int = MAX_TRUSTED) -> DataFrame:
-    """Ids of documents labelled good (quality 1, not toxic), thinned by a hash of the id to about ``max_rows``."""
-    good = labels.where("doc_id is not null and quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("trusted_id"))
-    part = 1_000_000 * min(1.0, max_rows / max(1, good.count()))
-    return good.where(F.pmod(F.xxhash64("trusted_id"), F.lit(1_000_000)) < F.lit(int(part))).distinct()
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good (quality 1, not toxic), each once."""
+    good = labels.where("doc_id is not null and quality = 1 and coalesce(toxic, 0) = 0")
+    return good.select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
 
 
-def fit(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
-    """Log ratio per bucket, from the n-grams of every document and of the trusted ones.
+def fit(
+    docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING, broadcast_rows: int = BROADCAST_ROWS
+) -> list[float]:
+    """Log ratio per bucket, from the n-grams of every document and of all trusted ones.
 
+    Up to ``broadcast_rows`` trusted ids are broadcast; more of them meet the texts by a sort-merge join.
     Only the ``buckets`` sums reach the driver. Without trusted text all ratios are 0.
     """
-    d = docs.select(F.col(doc_id).cast("long").alias("id"), split_words(whole_text(text)).alias("words"))
-    d = d.join(F.broadcast(trusted), d.id == trusted.trusted_id, "left")
-    g = d.select(F.col("trusted_id").isNotNull().alias("good"), F.explode(_grams("words", buckets)).alias("b"))
+    d = docs.select(F.col(doc_id).cast("long").alias("id"), whole_text(text).alias("t"))
+    few = trusted.limit(broadcast_rows + 1).count() <= broadcast_rows
+    trusted = F.broadcast(trusted) if few else trusted.hint("merge")
+    # rows without an id are dealt out by their text and meet none
+    d = d.join(trusted, (F.coalesce(d.id, F.xxhash64(d.t)) == trusted.trusted_id) & d.id.isNotNull(), "left")
+    # words are split behind the join, so that texts are shuffled and not arrays
+    d = d.select(F.col("trusted_id").isNotNull().alias("good"), split_words(F.col("t")).alias("words"))
+    g = d.select("good", F.explode(_grams("words", buckets)).alias("b"))
     sums = g.groupBy("b").agg(F.count("*").alias("raw"), F.count_if("good").alias("good")).collect()
     n_good, n_raw = sum(r.good for r in sums), sum(r.raw for r in sums)
     out = [0.0] * buckets

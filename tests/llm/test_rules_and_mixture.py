@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from freshet.llm import decontaminate, licenses, mixture, quality_rules
 
@@ -56,6 +58,29 @@ def test_ratio_prefers_trusted_text_and_filter_agrees(spark):
     assert quality_rules.apply_rules(docs.limit(0), ratios).count() == 0
 
 
+def test_every_good_label_is_trusted(spark):
+    n = 250_000
+    labels = spark.range(n).selectExpr("id AS doc_id", "int(id % 50 <> 0) AS quality", "CASE WHEN id % 3 = 0 THEN 0 END AS toxic")
+    ids = quality_rules.trusted_ids(labels.union(labels.limit(100)))
+    assert ids.count() == ids.distinct().count() == n - n // 50
+
+
+def test_many_trusted_ids_are_merged_with_the_same_ratios(spark, monkeypatch):
+    texts = [None, "", *(f"river level {i} rises" for i in range(30)), *(f"buy {i} pills" for i in range(30))]
+    docs = made(spark, texts)
+    # ids that repeat, ids that are missing, and trusted ids that are the hashes of texts
+    docs = docs.union(docs.where("doc_id % 7 = 0")).union(docs.where("doc_id > 20").withColumn("doc_id", F.lit(None).cast("long")))
+    trusted = docs.where("doc_id < 25").select(F.col("doc_id").alias("trusted_id")).union(docs.select(F.xxhash64(F.coalesce("text", F.lit(""))))).distinct()
+    few = quality_rules.fit(docs, trusted, buckets=64)
+    plans = []
+    monkeypatch.setattr(DataFrame, "collect", lambda self, real=DataFrame.collect: (plans.append(self._jdf.queryExecution().executedPlan().toString()), real(self))[1])
+    many = quality_rules.fit(docs, trusted, buckets=64, broadcast_rows=10)
+    assert "SortMergeJoin" in plans[-1] and "Broadcast" not in plans[-1]
+    assert many == few
+    numbered = docs.fillna({"doc_id": -1})
+    assert many == quality_rules.fit(numbered, spark.range(25).select(F.col("id").alias("trusted_id")), buckets=64)
+
+
 def targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
     names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     w = {s: weights[i % 3] for i, s in enumerate(names)}
